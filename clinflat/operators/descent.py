@@ -80,7 +80,7 @@ def descendants(node: Path, paths: list[str], order: str = "depth") -> Path:
         return Path(F.array().cast("array<struct<_:string>>"), T.ArrayType(T.StructType()))
     array_type = T.ArrayType(target)
 
-    def children(n: Path) -> list[Path | Column]:
+    def children(n: Path, guard_type: T.ArrayType = array_type) -> list[Path | Column]:
         found: list[Path | Column] = []
         for p in paths:
             reached = _resolve(n, p)
@@ -89,12 +89,15 @@ def descendants(node: Path, paths: list[str], order: str = "depth") -> Path:
             if isinstance(reached.item_type, T.StructType):
                 found.append(reached)
             elif isinstance(reached.item_type, T.StringType):
-                found.append(_guarded(reached, array_type))
+                found.append(_guarded(reached, guard_type))
         return found
 
     def as_array(p: Path) -> Column:
         return p.array
 
+    def filled(p: Path, target_type: T.ArrayType) -> Column:
+        return conform(Path(as_array(p), T.ArrayType(p.item_type)), target_type)
+
     def with_below(kind: T.DataType) -> Callable[[Column], Column]:
         def body(x: Column) -> Column:
             item = Path(x, kind)
@@ -118,16 +121,14 @@ def descendants(node: Path, paths: list[str], order: str = "depth") -> Path:
 
     def below(kind: T.DataType, next_type: T.ArrayType) -> Callable[[Column], Column]:
         def body(x: Column) -> Column:
-            reached = [c for c in children(Path(x, kind))]
-            return F.concat(
-                *[conform(c, next_type) if isinstance(c, Path) else c for c in reached]
-            )
+            reached = children(Path(x, kind), next_type)
+            return F.concat(*[filled(c, next_type) if isinstance(c, Path) else c for c in reached])
 
         return body
 
     levels: list[Column] = [c for c in children(node) if isinstance(c, Column)]
-    current = [Path(as_array(c), T.ArrayType(c.item_type)) for c in children(node) if isinstance(c, Path)]
-    level = F.concat(*[conform(c, array_type) for c in current]) if current else None
+    current = [c for c in children(node) if isinstance(c, Path)]
+    level = F.concat(*[filled(c, array_type) for c in current]) if current else None
     kind: T.DataType = target
     while level is not None:
         levels.append(conform(Path(level, T.ArrayType(kind)), array_type))
