@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinflat.functions import codes
 from clinflat.functions.codes import code_system, translate
@@ -354,7 +353,7 @@ def practitioners(practitioner: DataFrame, role: DataFrame, run: RunInfo) -> Dat
     )
 
 
-APPOINTMENT_SCHEMA = T.StructType.fromDDL(
+APPOINTMENT_SCHEMA = (
     "appointment_id string, person_id string, patient_id string, encounter_id string, "
     "start_datetime timestamp_ntz, end_datetime timestamp_ntz, duration int, "
     "location_id string, practitioner_id string, type string, status string, reason string, "

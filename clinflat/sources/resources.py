@@ -41,7 +41,7 @@ def read_resources(
     spark: SparkSession,
     source: str | Sequence[str],
     resource_type: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Resources of one type from newline-delimited JSON, plain or gzip.
 
@@ -64,7 +64,7 @@ def changed_since(df: DataFrame, since: str | Column) -> DataFrame:
 
 
 def read_resources_since(
-    spark: SparkSession, source: str, resource_type: str, since: str, schema: T.StructType | None = None
+    spark: SparkSession, source: str, resource_type: str, since: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
     return changed_since(read_resources(spark, source, resource_type, schema), since)
 
@@ -96,7 +96,7 @@ def explode_bundles(bundles: DataFrame) -> DataFrame:
     )
 
 
-def bundle_resources(entries: DataFrame, resource_type: str, schema: T.StructType | None = None) -> DataFrame:
+def bundle_resources(entries: DataFrame, resource_type: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Typed resources of one type from exploded bundle entries."""
     schema = schema or resource_schema(resource_type)
     parsed = F.from_json("resource", schema, {"mode": "FAILFAST"})
@@ -132,6 +132,6 @@ def resolve_conditional_refs(df: DataFrame, reference: str, target: DataFrame, t
     return joined.withColumn(reference, resolved).select(*df.columns)
 
 
-def read_code_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_code_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Terminology table from CSV files with a header line."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)

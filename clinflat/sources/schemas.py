@@ -118,18 +118,19 @@ def resource_schema(resource_type: str) -> T.StructType:
     return T.StructType.fromDDL(f"{HEAD}, {_FIELDS[resource_type]}")
 
 
-TARGET_KEY_SCHEMA = T.StructType.fromDDL(f"{HEAD}, identifier array<{SHORT_IDENTIFIER}>")
-BUNDLE_SCHEMA = T.StructType.fromDDL(
+# Schemas in DDL text; every reader takes them as they are.
+TARGET_KEY_SCHEMA = f"{HEAD}, identifier array<{SHORT_IDENTIFIER}>"
+BUNDLE_SCHEMA = (
     "resourceType string, type string, entry array<struct<fullUrl:string,resource:string>>"
 )
-DIAGNOSIS_MAP_SCHEMA = T.StructType.fromDDL(
+DIAGNOSIS_MAP_SCHEMA = (
     "referenced_component_id string, map_target string, map_target_name string, "
     "map_group string, map_priority string, map_rule string, active string"
 )
-DRUG_PACKAGE_SCHEMA = T.StructType.fromDDL(
+DRUG_PACKAGE_SCHEMA = (
     "drug_id string, clinical_drug_id string, ndc11 string, active string"
 )
-MEASURE_SCHEMA = T.StructType.fromDDL(
+MEASURE_SCHEMA = (
     "measure_id string, measure_name string, performance_period_end date, "
     "denominator_sum bigint, numerator_sum bigint, exclusion_sum bigint, performance_rate double"
 )

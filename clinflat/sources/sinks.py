@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,6 +52,7 @@ def flatten_all(
     if parquet_folder is None and database is None:
         raise ValueError("name a parquet folder, a database, or both")
     staging = staging or staging_folder(spark)
+    run = uuid.uuid4().hex
     report = []
     for resource in dict.fromkeys(v.resource for v in views):
         own = [v for v in views if v.resource == resource]
@@ -59,7 +61,7 @@ def flatten_all(
         seen = Observation(f"resources_{resource}")
         several = len(own) > 1 or (parquet_folder is not None and database is not None)
         if several and staging is not None:
-            staged = f"{staging.rstrip('/')}/clinflat-staging/{resource}"
+            staged = f"{staging.rstrip('/')}/clinflat-{run}/{resource}"
             write_parquet(records.observe(seen, F.count(F.lit(1)).alias("n")), staged)
             records = spark.read.parquet(staged)
             observed_records = records

@@ -20,7 +20,7 @@ def stream_resources(
     spark: SparkSession,
     folder: str,
     resource_type: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """Resources of one type from files as they arrive in a folder."""
