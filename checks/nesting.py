@@ -10,8 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from clinflat.sources.schemas import resource_schema
@@ -25,20 +24,22 @@ class When:
     part: Any
 
 
-def nested(part: Any, dtype: T.DataType) -> Column:
+def nested(part: Any, dtype: T.DataType) -> str:
+    """SQL text that builds a part in exactly the given type."""
     if part is None:
-        return F.lit(None).cast(dtype)
+        return f"cast(null as {dtype.simpleString()})"
     if isinstance(part, When):
-        return F.when(F.expr(part.condition), nested(part.part, dtype))
+        return f"case when {part.condition} then {nested(part.part, dtype)} end"
     if isinstance(dtype, T.StructType):
         unknown = set(part) - set(dtype.names)
         if unknown:
             raise ValueError(f"fields {unknown} are not declared")
-        return F.struct(*[nested(part.get(f.name), f.dataType).alias(f.name) for f in dtype.fields])
+        fields = [f"'{f.name}', {nested(part.get(f.name), f.dataType)}" for f in dtype.fields]
+        return f"named_struct({', '.join(fields)})"
     if isinstance(dtype, T.ArrayType):
-        items = F.array(*[nested(p, dtype.elementType) for p in part])
-        return F.array_compact(items) if any(isinstance(p, When) for p in part) else items
-    return F.expr(part).cast(dtype)
+        items = f"array({', '.join(nested(p, dtype.elementType) for p in part)})"
+        return f"array_compact({items})" if any(isinstance(p, When) for p in part) else items
+    return f"cast({part} as {dtype.simpleString()})"
 
 
 def record(df: DataFrame, resource_type: str, parts: dict[str, Any]) -> DataFrame:
@@ -47,4 +48,4 @@ def record(df: DataFrame, resource_type: str, parts: dict[str, Any]) -> DataFram
     unknown = set(parts) - set(schema.names)
     if unknown:
         raise ValueError(f"fields {unknown} are not declared")
-    return df.select(*[nested(parts.get(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"{nested(parts.get(f.name), f.dataType)} as {f.name}" for f in schema.fields])

@@ -48,14 +48,14 @@ def first_present(a: Column) -> Column:
 
 def size_of(a: Column) -> Column:
     """Number of non-null items; zero for a missing array."""
-    return F.greatest(F.coalesce(F.size(drop_nulls(a)), F.lit(0)), F.lit(0))
+    return F.coalesce(F.array_size(drop_nulls(a)), F.lit(0))
 
 
 def strict_one(a: Column, label: str) -> Column:
     """The only item, null when there is none, an error when there are several."""
     message = F.lit(f"{label}: more than one value where a single one is expected")
     return (
-        F.when(F.coalesce(F.size(a), F.lit(0)) <= 1, F.get(a, F.lit(0)))
+        F.when(F.coalesce(F.array_size(a), F.lit(0)) <= 1, F.get(a, F.lit(0)))
         .when(size_of(a) > 1, F.raise_error(message))
         .otherwise(first_present(a))
     )
@@ -80,11 +80,19 @@ def reference_key(reference: Column, target: str | None = None) -> Column:
 
 
 class Path:
-    """A column and its type; arrays are collections, everything else is a single value."""
+    """A column and its type; arrays are collections, everything else is a single value.
 
-    def __init__(self, col: Column | None, dtype: T.DataType):
+    ``plain`` says that the column only reads fields, so that naming it twice in an
+    expression costs nothing; ``clean`` says that an array holds no nulls.
+    """
+
+    def __init__(
+        self, col: Column | None, dtype: T.DataType, plain: bool = True, clean: bool = False
+    ):
         self._col = col
         self.dtype = dtype
+        self.plain = plain
+        self.clean = clean
 
     # -- shape ---------------------------------------------------------------------
 
@@ -106,11 +114,16 @@ class Path:
     def array(self) -> Column:
         """The items as an array, without nulls, empty when there are none."""
         if self.many:
-            return F.coalesce(drop_nulls(self.col), F.array().cast(self.dtype))
+            return F.coalesce(self.compact, F.array().cast(self.dtype))
         return F.when(self.col.isNotNull(), F.array(self.col)).otherwise(
             F.array().cast(T.ArrayType(self.dtype))
         )
 
+    @property
+    def compact(self) -> Column:
+        """The items without nulls; a missing array stays missing."""
+        return self.col if self.clean else drop_nulls(self.col)
+
     def has(self, name: str) -> bool:
         return isinstance(self.item_type, T.StructType) and name in self.item_type.names
 
@@ -124,10 +137,10 @@ class Path:
             return Path(F.col(f"`{name}`"), ftype)
         inner = self._col[name]
         if not self.many:
-            return Path(inner, ftype)
+            return Path(inner, ftype, self.plain)
         if isinstance(ftype, T.ArrayType):
-            return Path(F.flatten(drop_nulls(inner)), ftype)
-        return Path(inner, T.ArrayType(ftype))
+            return Path(F.flatten(drop_nulls(inner)), ftype, False)
+        return Path(inner, T.ArrayType(ftype), self.plain)
 
     def __iter__(self):
         raise TypeError("a path is not iterable; use items in a view's for_each")
@@ -179,13 +192,13 @@ class Path:
         """Keep items for which the condition is true. It may take (item) or (item, index)."""
         if not self.many:
             keep = F.coalesce(_truth(condition(self)), F.lit(False))
-            return Path(F.when(keep, self.col), self.dtype)
+            return Path(F.when(keep, self.col), self.dtype, False)
         if condition.__code__.co_argcount == 2:
 
             def test(x: Column, i: Column) -> Column:
                 return F.coalesce(_truth(condition(Path(x, self.item_type), i)), F.lit(False))
 
-            return Path(F.filter(drop_nulls(self.col), test), self.dtype)
+            return Path(F.filter(self.compact, test), self.dtype, False, True)
         return Path(
             F.filter(
                 self.col,
@@ -193,6 +206,8 @@ class Path:
                 & F.coalesce(_truth(condition(Path(x, self.item_type))), F.lit(False)),
             ),
             self.dtype,
+            False,
+            True,
         )
 
     def select(self, fn: Callable[[Path], Path]) -> Path:
@@ -206,31 +221,35 @@ class Path:
             holder["type"] = out.dtype
             return out.col
 
-        mapped = F.transform(drop_nulls(self.col), body)
+        mapped = F.transform(self.compact, body)
         if isinstance(holder["type"], T.ArrayType):
-            return Path(F.flatten(drop_nulls(mapped)), holder["type"])
-        return Path(mapped, T.ArrayType(holder["type"]))
+            return Path(F.flatten(drop_nulls(mapped)), holder["type"], False)
+        return Path(mapped, T.ArrayType(holder["type"]), False)
 
     def first(self) -> Path:
-        return Path(first_present(self.col), self.item_type) if self.many else self
+        if not self.many:
+            return self
+        if self.clean or not self.plain:
+            return Path(F.get(self.compact, F.lit(0)), self.item_type, False)
+        return Path(first_present(self.col), self.item_type, False)
 
     def last(self) -> Path:
         if not self.many:
             return self
-        return Path(F.try_element_at(drop_nulls(self.col), F.lit(-1)), self.item_type)
+        return Path(F.try_element_at(self.compact, F.lit(-1)), self.item_type, False)
 
     def at(self, index: int | Column) -> Path:
         """Zero-based item; out of range gives null."""
         if not self.many:
             return Path(F.when(F.lit(index) == 0, self.col), self.dtype)
-        return Path(F.get(drop_nulls(self.col), F.lit(index)), self.item_type)
+        return Path(F.get(self.compact, F.lit(index)), self.item_type, False)
 
     def skip(self, n: int) -> Path:
         a = self.array
         if n < 0:
             raise PathError("skip needs a count of zero or more")
-        rest = F.slice(a, F.lit(n + 1), F.greatest(F.size(a) - n, F.lit(0)))
-        return Path(rest, T.ArrayType(self.item_type))
+        rest = F.slice(a, F.lit(n + 1), F.greatest(F.array_size(a) - n, F.lit(0)))
+        return Path(rest, T.ArrayType(self.item_type), False, True)
 
     def tail(self) -> Path:
         return self.skip(1)
@@ -238,18 +257,18 @@ class Path:
     def take(self, n: int) -> Path:
         if n < 0:
             raise PathError("take needs a count of zero or more")
-        return Path(F.slice(self.array, F.lit(1), F.lit(n)), T.ArrayType(self.item_type))
+        return Path(F.slice(self.array, F.lit(1), F.lit(n)), T.ArrayType(self.item_type), False, True)
 
     def one(self, label: str = "single()") -> Column:
         """The only value; several values are an error when the row is computed."""
         return strict_one(self.col, label) if self.many else self.col
 
     def single(self, label: str = "single()") -> Path:
-        return Path(self.one(label), self.item_type)
+        return Path(self.one(label), self.item_type, False)
 
     def count(self) -> Column:
         if self.many:
-            return size_of(self.col)
+            return F.coalesce(F.array_size(self.compact), F.lit(0))
         return F.when(self.col.isNotNull(), 1).otherwise(0)
 
     def exists(self, condition: Callable[..., Any] | None = None) -> Column:
@@ -268,16 +287,16 @@ class Path:
         return F.forall(self.array, test)
 
     def distinct(self) -> Path:
-        return Path(F.array_distinct(self.array), T.ArrayType(self.item_type))
+        return Path(F.array_distinct(self.array), T.ArrayType(self.item_type), False, True)
 
     def union(self, other: Path) -> Path:
         """Items of both without duplicates, in order."""
-        return Path(F.array_union(self.array, other.array), T.ArrayType(self.item_type))
+        return Path(F.array_union(self.array, other.array), T.ArrayType(self.item_type), False, True)
 
     def or_first(self, *others: Path) -> Path:
         """First value of the first path that has one."""
         values = [p.first().col for p in (self, *others)]
-        return Path(F.coalesce(*values), self.item_type)
+        return Path(F.coalesce(*values), self.item_type, False)
 
     def contains_item(self, item: Any) -> Column:
         """Membership: null for a missing item, false for an empty collection."""
@@ -286,9 +305,12 @@ class Path:
 
     def join(self, separator: str = "") -> Path:
         """Items as one text; null when there are none."""
-        a = drop_nulls(self.col) if self.many else self.array
-        text = F.array_join(F.transform(a, lambda x: x.cast("string")), separator)
-        return Path(F.when(self.count() > 0, text), T.StringType())
+        if not self.many:
+            return Path(self.col.cast("string"), T.StringType(), False)
+        items = self.col
+        if not isinstance(self.item_type, T.StringType):
+            items = F.transform(items, lambda x: x.cast("string"))
+        return Path(F.when(self.count() > 0, F.array_join(items, separator)), T.StringType(), False)
 
     def has_value(self) -> Column:
         if isinstance(self.item_type, T.StructType):
@@ -298,8 +320,8 @@ class Path:
     def map(self, fn: Callable[[Column], Column], dtype: T.DataType) -> Path:
         """Apply a column function to each value; missing results are dropped."""
         if self.many:
-            return Path(F.transform(self.col, fn), T.ArrayType(dtype))
-        return Path(fn(self.col), dtype)
+            return Path(F.transform(self.col, fn), T.ArrayType(dtype), False)
+        return Path(fn(self.col), dtype, False)
 
     def ref_key(self, target: str | None = None) -> Path:
         """Ids of references (see :func:`reference_key`)."""
@@ -312,13 +334,22 @@ class Path:
         otherwise item by item in order."""
         if not self.many and not (isinstance(other, Path) and other.many):
             return self.col == value_of(other)
-        mine = self.array
-        if isinstance(other, Path):
-            theirs = other.array
-        else:
-            v = value_of(other)
-            theirs = F.when(v.isNotNull(), F.array(v)).otherwise(F.array().cast(self.dtype))
-        return F.when((F.size(mine) > 0) & (F.size(theirs) > 0), mine == theirs)
+        if not isinstance(other, Path):
+            return self._equals_value(other)
+        mine, theirs = self.array, other.array
+        return F.when((F.array_size(mine) > 0) & (F.array_size(theirs) > 0), mine == theirs)
+
+    def _equals_value(self, other: Any) -> Column:
+        """A collection against one value. The usual cases are decided without a lambda:
+        the value is not there at all, or it is the only item."""
+        v = value_of(other)
+        found = F.array_contains(self.col, v)
+        result = (
+            F.when(found, (F.array_size(self.col) == 1) | (F.array_size(self.compact) == 1))
+            .when(F.get(self.col, F.lit(0)).isNotNull(), F.lit(False))
+            .when(F.array_size(self.compact) > 0, F.lit(False))
+        )
+        return F.when(v.isNotNull(), result) if isinstance(other, Column) else result
 
     def __eq__(self, other: Any) -> Column:  # type: ignore[override]
         return self.equals(other)

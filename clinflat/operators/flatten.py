@@ -67,6 +67,11 @@ class Node(Path):
         super().__init__(col, dtype)
         self.row_index = index
         self._context = context
+        self._shared: dict[str, Column] = {}
+
+    def shared(self, name: str) -> Column:
+        """A value of the select's ``shared``, computed once for all its columns."""
+        return self._shared[name]
 
     @property
     def this(self) -> Path:
@@ -122,6 +127,7 @@ class Select:
     for_each: str | PathFunction | None = None
     for_each_or_null: str | PathFunction | None = None
     repeat: Sequence[str] = ()
+    shared: dict[str, Callable[[Node], Column]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         used = [x for x in (self.for_each, self.for_each_or_null) if x is not None]
@@ -183,11 +189,12 @@ class FlatView:
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Rows of this view for every record of its type in ``df``."""
-        if "resourceType" in df.columns:
+        schema = df.schema
+        if "resourceType" in schema.names:
             df = df.filter(F.col("resourceType") == self.resource)
-        root = Path(None, df.schema)
+        root = Path(None, schema)
         context = _Context(root, self.constants)
-        node = Node(None, df.schema, F.lit(0), context)
+        node = Node(None, schema, F.lit(0), context)
         for condition in self.where:
             df = df.filter(F.coalesce(_condition(df, node, condition), F.lit(False)))
         slots = {name: f"__c{i}" for i, name in enumerate(self.columns)}
@@ -247,6 +254,11 @@ def _expand(df: DataFrame, sel: Select, node: Node, slots: dict, counter: _Count
         df = df.select("*", explode(items.array).alias(f"__i{k}", f"__n{k}"))
         index = F.coalesce(F.col(f"__i{k}"), F.lit(0))
         node = Node(F.col(f"__n{k}"), items.item_type, index, node._context)
+    if sel.shared:
+        k = next(counter)
+        values = {name: fn(node).alias(f"__s{k}_{name}") for name, fn in sel.shared.items()}
+        df = df.select("*", *values.values())
+        node._shared = {name: F.col(f"__s{k}_{name}") for name in values}
     if sel.columns:
         df = df.select("*", *_own_columns(df, sel, node, slots))
     for child in sel.select:
@@ -291,6 +303,8 @@ def _combined(df: DataFrame, sel: Select, node: Node, slots: dict) -> Column:
     names: list[list[str]] = []
     if sel.columns:
         probe = Node(F.col("__n"), node.dtype, F.lit(0), node._context) if "__n" in df.columns else node
+        for name, fn in sel.shared.items():
+            node._shared[name], probe._shared[name] = fn(node), fn(probe)
         parts.append(F.array(F.struct(*_probed_columns(df, sel, node, probe, slots))))
         names.append([slots[c.name] for c in sel.columns])
     for child in sel.select:

@@ -37,7 +37,7 @@ def drug_package_map(packages: DataFrame) -> DataFrame:
     """One package code per drug, whichever of its two ids is used: active packages first,
     then the lowest code."""
     rows = packages.filter(F.col("ndc11").isNotNull()).select(
-        F.explode(F.array("drug_id", "clinical_drug_id")).cast("string").alias("rxnorm_code"),
+        F.explode(F.array(F.col("drug_id").cast("string"), F.col("clinical_drug_id").cast("string"))).alias("rxnorm_code"),
         (~F.coalesce(F.col("active").cast("string").isin(*ACTIVE_VALUES), F.lit(False))).alias("__old"),
         "ndc11",
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinflat.functions import codes
-from clinflat.functions.collections import Path
+from clinflat.functions.collections import Path, first_present, size_of
 from clinflat.operators.flatten import Col, FlatView, Node, Select
 
 Paths = Path | Node
@@ -424,6 +426,32 @@ def _amount(path: Paths, category: str) -> Path:
     return path.where(lambda x: x["category"]["coding"]["code"] == category)["amount"]["value"].first()
 
 
+def _adjudication_codes(n: Node) -> Column:
+    """Per adjudication entry, its category code when that is the only one."""
+
+    def only_code(entry: Column) -> Column:
+        found = entry["category"]["coding"]["code"]
+        return F.when(F.array_size(found) == 1, F.get(found, F.lit(0))).otherwise(
+            F.when(size_of(found) == 1, first_present(found))
+        )
+
+    return F.transform(n["adjudication"].col, only_code)
+
+
+def adjudicated(category: str):
+    """Amount of a category of adjudication. Five columns look in the same entries, so
+    their codes are listed once per line and each column only finds its position. An entry
+    without an amount sends the search on to the next one."""
+
+    def amount(n: Node) -> Path:
+        position = F.array_position(n.shared("codes"), category)
+        listed = F.get(n["adjudication"]["amount"]["value"].col, (position - 1).cast("int"))
+        value = F.coalesce(listed, _amount(n["adjudication"], category).col)
+        return Path(F.when(position > 0, value), T.DoubleType())
+
+    return amount
+
+
 EXPLANATION_OF_BENEFIT = _view(
     "explanation_of_benefit",
     "ExplanationOfBenefit",
@@ -461,6 +489,7 @@ EXPLANATION_OF_BENEFIT_ITEM = _view(
     Col("claim_type", coded("type"), "code"),
     each=Select(
         for_each="item",
+        shared={"codes": _adjudication_codes},
         columns=[
             Col("sequence", "sequence", "positiveInt"),
             *_concept("product", lambda n: n["productOrService"]),
@@ -480,17 +509,17 @@ EXPLANATION_OF_BENEFIT_ITEM = _view(
             Col("category_code", coded("category"), "code"),
             Col("quantity", "quantity.value", "decimal"),
             Col("net_amount", "net.value", "decimal"),
-            Col("submitted_amount", lambda n: _amount(n["adjudication"], codes.LINE_SUBMITTED), "decimal"),
-            Col("allowed_amount", lambda n: _amount(n["adjudication"], codes.LINE_ALLOWED), "decimal"),
-            Col("paid_amount", lambda n: _amount(n["adjudication"], codes.LINE_PAID), "decimal"),
+            Col("submitted_amount", adjudicated(codes.LINE_SUBMITTED), "decimal"),
+            Col("allowed_amount", adjudicated(codes.LINE_ALLOWED), "decimal"),
+            Col("paid_amount", adjudicated(codes.LINE_PAID), "decimal"),
             Col(
                 "coinsurance_amount",
-                lambda n: _amount(n["adjudication"], codes.LINE_COINSURANCE),
+                adjudicated(codes.LINE_COINSURANCE),
                 "decimal",
             ),
             Col(
                 "deductible_amount",
-                lambda n: _amount(n["adjudication"], codes.LINE_DEDUCTIBLE),
+                adjudicated(codes.LINE_DEDUCTIBLE),
                 "decimal",
             ),
             Col("diagnosis_sequence", lambda n: n["diagnosisSequence"].first(), "positiveInt"),
