@@ -76,8 +76,7 @@ def descendants(node: Path, paths: list[str], order: str = "depth") -> Path:
             target = reached.item_type
             break
     if target is None:
-        # No path leads to records: nothing to descend into.
-        return Path(F.array().cast("array<struct<_:string>>"), T.ArrayType(T.StructType()))
+        raise PathError(f"no declared records below {paths}")
     array_type = T.ArrayType(target)
 
     def children(n: Path, guard_type: T.ArrayType = array_type) -> list[Path | Column]:

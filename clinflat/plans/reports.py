@@ -219,11 +219,10 @@ def headline_summary(
         if df is not None
     ]
     if medical_claim is not None:
-        both = F.array(
-            F.struct(F.lit("medical_claim_lines").alias("name"), rows.cast("double").alias("value")),
-            F.struct(F.lit("paid_amount"), F.round(exact_sum(F.col("paid_amount")), 2)),
-        )
-        parts.append(medical_claim.agg(both.alias("m")).select(F.inline("m")))
+        paid = F.round(exact_sum(F.col("paid_amount")), 2)
+        totals = medical_claim.agg(rows.cast("double").alias("medical_claim_lines"), paid.alias("paid_amount"))
+        names = ["medical_claim_lines", "paid_amount"]
+        parts.append(totals.unpivot([], names, "name", "value"))
     tall = spark.createDataFrame([], "name string, value double")
     for p in parts:
         tall = tall.unionByName(p)
