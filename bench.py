@@ -1,9 +1,11 @@
-"""Time the headline queries; prints one JSON line.
+"""Time the two steps of the pipeline and some single operators; prints one JSON line.
 
 BENCH_SF_DIR names the folder of the given tables, BENCH_CPUS the number of cores.
-Query results go to Spark's noop sink, so all rows and columns are computed. The file job
-reads newline-delimited JSON (written beforehand, not timed), runs the views of five
-record types and writes Parquet.
+
+Flatten: newline-delimited JSON of all record types (written beforehand, not timed) through
+all nineteen views into Parquet. Map and report: every model over those flat tables.
+Operator queries run from the given tables. Results that are not files go to Spark's noop
+sink, so all rows and columns are computed.
 """
 
 from __future__ import annotations
@@ -17,34 +19,60 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import checks.operator_queries  # noqa: F401
-from checks.queries import QUERIES
+from checks.queries import QUERIES, Models
 from checks.records import RECORDS, records
+from clinflat.plans import reports
 from clinflat.plans.tables import TABLES
 from clinflat.session import get_session
 from clinflat.sources.sinks import flatten_all
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-HEADLINE = (
-    "flatten_patient", "flatten_encounter", "flatten_observation",
-    "flatten_explanation_of_benefit", "flatten_explanation_of_benefit_item",
-    "union_branches", "repeat_tree", "collection_functions", "code_map_top1", "claim_header",
-    "claim_diagnosis", "claim_diagnosis_pivot", "enrolment_spans", "encounter", "observation",
-    "lab_result", "medication", "location", "medical_claim", "pharmacy_claim",
-    "pmpm_by_year", "common_conditions", "conditional_references",
+LINE_TABLES = ("explanation_of_benefit_item", "explanation_of_benefit_diagnosis")
+OPERATORS = (
+    "foreach", "sibling_selects", "union_branches", "repeat_tree", "collection_functions",
+    "bundle_entries", "conditional_references",
 )
-FILE_TABLES = ("patient", "encounter", "condition", "observation", "explanation_of_benefit")
-
-
-def write_files(spark, folder: str) -> None:
-    for table in FILE_TABLES:
+MODELS = {
+    "code_map_top1": Models.code_map,
+    "drug_code_top1": Models.package_map,
+    "claim_header": Models.headers,
+    "claim_diagnosis": Models.diagnoses,
+    "claim_diagnosis_pivot": Models.diagnosis_columns,
+    "enrolment_spans": Models.spans,
+    "patient": Models.patients,
+    "encounter": Models.encounters,
+    "condition": Models.conditions,
+    "procedure": Models.procedures,
+    "observation": Models.observations,
+    "lab_result": Models.labs,
+    "medication": Models.medications,
+    "immunization": Models.immunizations,
+    "location": Models.locations,
+    "practitioner": Models.practitioners,
+    "eligibility": Models.eligibility,
+    "medical_claim": Models.medical,
+    "pharmacy_claim": Models.pharmacy,
+    "pmpm_by_year": Models.pmpm,
+    "encounters_by_type": lambda m: reports.encounters_by_type(m.encounter_set()),
+    "common_conditions": lambda m: reports.common_conditions(m.condition_set()),
+    "headline_summary": Models.summary,
+}
+
+
+def write_files(spark, tables, folder: str) -> None:
+    os.makedirs(folder)
+    done = set()
+    for table in tables:
         resource = RECORDS[table][0]
-        text = records(spark, FOLDER, table).selectExpr("to_json(struct(*)) as value")
-        staged = f"{folder}/.{resource}"
-        text.write.text(staged)
-        os.makedirs(f"{folder}/export", exist_ok=True)
-        for i, name in enumerate(sorted(n for n in os.listdir(staged) if n.startswith("part-"))):
-            os.link(f"{staged}/{name}", f"{folder}/export/{resource}.{i:03d}.ndjson")
+        if resource in done:
+            continue
+        done.add(resource)
+        staged = f"{folder}.{resource}"
+        records(spark, FOLDER, table).selectExpr("to_json(struct(*)) as value").write.text(staged)
+        parts = sorted(n for n in os.listdir(staged) if n.startswith("part-"))
+        for i, name in enumerate(parts):
+            os.link(f"{staged}/{name}", f"{folder}/{resource}.{i:03d}.ndjson")
 
 
 def main() -> None:
@@ -57,47 +85,45 @@ def main() -> None:
         spark__python__sql__dataFrameDebugging__enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
+    scratch = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("TMPDIR", "/tmp"))
     times: dict[str, float] = {}
 
-    def timed(name: str, job) -> None:
+    def timed(name: str, job):
         started = time.monotonic()
-        job()
+        result = job()
         times[name] = round(time.monotonic() - started, 3)
-
-    def run(name: str) -> None:
-        QUERIES[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
-
-    run("flatten_practitioner")  # starts the engine
-    for name in HEADLINE:
-        timed(name, lambda name=name: run(name))
-
-    scratch = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("TMPDIR", "/tmp"))
-    write_files(spark, scratch)
-    types = {RECORDS[t][0] for t in FILE_TABLES}
-    views = [v for v in TABLES.values() if v.resource in types]
-    reports = []
-    timed(
-        "flatten_files",
-        lambda: reports.append(
-            flatten_all(spark, views, f"{scratch}/export", f"{scratch}/flat", staging=f"{scratch}/staging")
-        ),
-    )
-    rows = {r.resource: r.resources for r in reports[0].collect()}
-    resources = sum(rows.values())
-    print(
-        json.dumps(
-            {
-                "metric": "total_seconds",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
-                "cpus": int(CPUS),
-                "flatten_files_resources": resources,
-                "flatten_files_resources_per_sec": round(resources / times["flatten_files"]),
-            }
-        )
-    )
+        return result
+
+    def drain(df) -> None:
+        df.write.format("noop").mode("overwrite").save()
+
+    flat = f"{scratch}/flat"
+    resources = 0
+    for step, names in (
+        ("flatten_records", [t for t in TABLES if t not in LINE_TABLES]),
+        ("flatten_claim_lines", list(LINE_TABLES)),
+    ):
+        export = f"{scratch}/{step}"
+        write_files(spark, names, export)
+        views = [TABLES[n] for n in names]
+        report = timed(step, lambda e=export, v=views: flatten_all(spark, v, e, parquet_folder=flat))
+        resources += sum(dict(report.select("resource", "resources").collect()).values())
+    for name, build in MODELS.items():
+        timed(name, lambda b=build: drain(b(Models(spark, FOLDER, flat))))
+    for name in OPERATORS:
+        timed(name, lambda n=name: drain(QUERIES[n](spark, FOLDER)))
+    flatten_seconds = times["flatten_records"] + times["flatten_claim_lines"]
+    result = {
+        "metric": "total_seconds",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
+        "cpus": int(CPUS),
+        "flattened_resources": resources,
+        "flattened_resources_per_sec": round(resources / flatten_seconds),
+    }
+    print(json.dumps(result))
     spark.stop()
 
 

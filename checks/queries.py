@@ -43,14 +43,17 @@ RUN = RunInfo(data_source="checks", ingest_datetime=datetime.fromisoformat(STAMP
 
 
 class Models:
-    """Models over the records of one folder."""
+    """Models over the records of one folder, or over flat tables written before."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, flat_folder: str | None = None):
         self.spark = spark
         self.folder = folder
+        self.flat_folder = flat_folder
         self._flat: dict[str, DataFrame] = {}
 
     def flat(self, table: str) -> DataFrame:
+        if self.flat_folder is not None:
+            return self.spark.read.parquet(f"{self.flat_folder}/{table}")
         if table not in self._flat:
             self._flat[table] = flat(self.spark, self.folder, table)
         return self._flat[table]

@@ -1,6 +1,10 @@
-"""Joins with the care that large skewed data needs. No side is ever broadcast by hint:
-Spark broadcasts a side when its measured size is below the configured bound, and
-otherwise shuffles and splits skewed partitions."""
+"""Joins with the care that large skewed data needs.
+
+No side is ever broadcast by hint. Spark broadcasts a side when its size, from its files at
+planning or measured at run time, is below the session's bound; otherwise it shuffles, and
+adaptive execution splits skewed partitions. The planned size knows nothing of unnesting,
+so tables that grow with unnested rows are kept out of that choice altogether.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +21,11 @@ def spread_nulls(key: Column, by: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit("~"), by))
 
 
+def never_broadcast(df: DataFrame) -> DataFrame:
+    """Mark a table whose size is not bounded by that of its files."""
+    return df.hint("merge")
+
+
 def lookup(left: DataFrame, right: DataFrame, key: Column, right_key: str, spread: Column) -> DataFrame:
     """Left join of an optional reference: all left rows stay. Columns of ``right`` must
     not clash with those of ``left``; its key column is dropped."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clinflat.functions import codes
 from clinflat.functions.temporal import to_full_date
 from clinflat.functions.text import strip_dots
-from clinflat.operators.joins import lookup
+from clinflat.operators.joins import lookup, never_broadcast
 from clinflat.operators.ranking import first_k_per_key, pivot_ranked, rank_all
 from clinflat.plans.common import RunInfo, empty, text
 
@@ -80,7 +80,8 @@ def claim_headers(
         F.max("encounter_id").alias("__line_encounter"),
     )
     insured = eob.filter(F.col("payer_name") != UNINSURED)
-    claims = insured.join(line_dates, F.col("id") == F.col("__eob_id"), "left").select(
+    joined = insured.join(never_broadcast(line_dates), F.col("id") == F.col("__eob_id"), "left")
+    claims = joined.select(
         F.col("id").alias("claim_id"),
         F.col("patient_id").alias("person_id"),
         "claim_type",
@@ -277,9 +278,9 @@ def medical_claims(
     )
     dx = diagnosis_columns.withColumnRenamed("claim_id", "__dx_claim")
     claims = headers.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES)).join(
-        dx, F.col("claim_id") == F.col("__dx_claim"), "left"
+        never_broadcast(dx), F.col("claim_id") == F.col("__dx_claim"), "left"
     )
-    c = claims.join(lines, F.col("claim_id") == F.col("__line_claim"))
+    c = claims.join(never_broadcast(lines), F.col("claim_id") == F.col("__line_claim"))
     institutional = F.col("claim_type") == "institutional"
     stay = institutional & (F.col("class_code") == "IMP")
     zero = F.lit(0.0)
@@ -348,7 +349,7 @@ def pharmacy_claims(
         "product_code", "quantity", "paid_amount", "allowed_amount", "submitted_amount",
         "net_amount", "coinsurance_amount", "deductible_amount",
     )
-    joined = claims.join(lines, F.col("claim_id") == F.col("__line_claim"))
+    joined = claims.join(never_broadcast(lines), F.col("claim_id") == F.col("__line_claim"))
     packages = package_map.select(F.col("rxnorm_code").alias("__drug"), "ndc_code")
     drug = F.when(F.col("product_system") == codes.RXNORM, F.col("product_code"))
     row = F.concat_ws(".", "claim_id", "sequence")

@@ -9,7 +9,7 @@ from clinflat.functions import codes
 from clinflat.functions.codes import code_system, translate
 from clinflat.functions.temporal import to_full_date, to_local_timestamp
 from clinflat.functions.text import clean_name, exact_sum, number_text
-from clinflat.operators.joins import left_or_join, lookup
+from clinflat.operators.joins import left_or_join, lookup, never_broadcast
 from clinflat.operators.ranking import nulls_last
 from clinflat.plans.claims import MEDICAL_CLAIM_TYPES, encounter_settings
 from clinflat.plans.common import RunInfo, empty, person_columns, text
@@ -73,7 +73,7 @@ def encounters(encounter: DataFrame, headers: DataFrame, run: RunInfo) -> DataFr
         .agg(exact_sum(F.col("payment_amount")).alias("__paid"), exact_sum(F.col("total_submitted")).alias("__charged"))
     )
     enc = encounter_settings(encounter)
-    return enc.join(costs, F.col("id") == F.col("__cost_encounter"), "left").select(
+    return enc.join(never_broadcast(costs), F.col("id") == F.col("__cost_encounter"), "left").select(
         text("id", "encounter_id"),
         *person_columns(),
         "encounter_type",
@@ -200,7 +200,8 @@ def panel_of_observation(report_result: DataFrame) -> DataFrame:
 def lab_results(observation: DataFrame, report_result: DataFrame, run: RunInfo) -> DataFrame:
     """Laboratory observations with the panel that ordered them, when there is one."""
     labs = observation.filter(F.col("category") == LABORATORY)
-    joined = labs.join(panel_of_observation(report_result), F.col("id") == F.col("__observation"), "left")
+    panels = never_broadcast(panel_of_observation(report_result))
+    joined = labs.join(panels, F.col("id") == F.col("__observation"), "left")
     taken = to_local_timestamp(F.col("effective_datetime"))
     result = F.coalesce(number_text(F.col("value_quantity")), "value_code_display", "value_string")
     return joined.select(

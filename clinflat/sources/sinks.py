@@ -39,19 +39,23 @@ def flatten_all(
     source: str,
     parquet_folder: str | None = None,
     database: str | None = None,
+    parse_once: bool = False,
     staging: str | None = None,
 ) -> DataFrame:
     """Run views over a folder of resource files and write one table per view.
 
-    Results go to ``parquet_folder/<name>``, to tables of ``database``, or both. A type
-    with one view is streamed from its files to the output. For a type with several views
-    or two outputs the JSON is parsed once into typed Parquet under ``staging`` (the
-    session's ``spark.checkpoint.dir`` unless given) and the views read that; without such
-    a folder every view reads the JSON. The report has one row per view.
+    Results go to ``parquet_folder/<name>``, to tables of ``database``, or both. Each view
+    scans the files of its type and parses only the fields it uses. With ``parse_once``, a
+    type with several views is parsed once into typed Parquet under ``staging`` (the
+    session's ``spark.checkpoint.dir`` unless given), and the views read that: worth it
+    when reading the files is dearer than writing them once. The report has one row per
+    view.
     """
     if parquet_folder is None and database is None:
         raise ValueError("name a parquet folder, a database, or both")
     staging = staging or staging_folder(spark)
+    if parse_once and staging is None:
+        raise ValueError("parse_once needs a staging folder or spark.checkpoint.dir")
     run = uuid.uuid4().hex
     report = []
     for resource in dict.fromkeys(v.resource for v in views):
@@ -59,8 +63,7 @@ def flatten_all(
         started = time.monotonic()
         records = read_resources(spark, source, resource)
         seen = Observation(f"resources_{resource}")
-        several = len(own) > 1 or (parquet_folder is not None and database is not None)
-        if several and staging is not None:
+        if parse_once and len(own) > 1:
             staged = f"{staging.rstrip('/')}/clinflat-{run}/{resource}"
             write_parquet(records.observe(seen, F.count(F.lit(1)).alias("n")), staged)
             records = spark.read.parquet(staged)

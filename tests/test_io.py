@@ -117,7 +117,7 @@ VIEWS = [TABLES["patient"], TABLES["observation"], TABLES["observation_component
 @pytest.mark.parametrize("staged", [True, False])
 def test_flatten_all(spark, folder, tmp_path, staged):
     out = str(tmp_path / "flat")
-    report = flatten_all(spark, VIEWS, folder, parquet_folder=out, staging=str(tmp_path / "stage") if staged else None)
+    report = flatten_all(spark, VIEWS, folder, parquet_folder=out, parse_once=staged, staging=str(tmp_path / "stage"))
     got = {r.name: (r.rows, r.resources) for r in report.collect()}
     assert got == {"patient": (4, 4), "observation": (2, 2), "observation_component": (2, 2), "medication": (0, 0)}
     component = spark.read.parquet(f"{out}/observation_component")
