@@ -81,8 +81,11 @@ class Models:
     def diagnoses(self) -> DataFrame:
         return claims.claim_diagnoses(*self._dx())
 
+    def diagnosis_lists(self) -> DataFrame:
+        return claims.claim_diagnosis_lists(*self._dx())
+
     def diagnosis_columns(self) -> DataFrame:
-        return claims.claim_diagnosis_columns(*self._dx())
+        return claims.claim_diagnosis_columns(self.diagnosis_lists())
 
     def spans(self) -> DataFrame:
         return claims.enrolment_spans(self.headers(), self.flat("patient"))
@@ -124,7 +127,7 @@ class Models:
 
     def medical(self) -> DataFrame:
         return claims.medical_claims(
-            self.headers(), self.flat("explanation_of_benefit_item"), self.diagnosis_columns(), RUN
+            self.headers(), self.flat("explanation_of_benefit_item"), self.diagnosis_lists(), RUN
         )
 
     def pharmacy(self) -> DataFrame:

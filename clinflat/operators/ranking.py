@@ -97,22 +97,30 @@ def rank_all(
     return single.unionByName(repeated(large, F.col("__n")))
 
 
+def ranked_lists(df: DataFrame, key: str, rank: str, columns: Sequence[str], n: int, name: str) -> DataFrame:
+    """One row per key with its ranked rows as an array in rank order.
+
+    Ranks must run from 1 without gaps; only those up to ``n`` are kept, so an array never
+    has more than ``n`` entries.
+    """
+    entry = F.struct(F.col(rank), *columns)
+    rows = df.filter(F.col(rank) <= n).groupBy(key).agg(F.collect_list(entry).alias(name))
+    return rows.withColumn(name, F.sort_array(name))
+
+
+def list_columns(rows: str, columns: dict[str, str], n: int) -> list[Column]:
+    """Columns ``<prefix>_1`` to ``<prefix>_n`` of an array from :func:`ranked_lists`;
+    ``columns`` maps a field of its entries to a prefix."""
+    return [
+        F.get(F.col(rows), F.lit(k - 1))[field].alias(f"{prefix}_{k}")
+        for field, prefix in columns.items()
+        for k in range(1, n + 1)
+    ]
+
+
 def pivot_ranked(
     df: DataFrame, key: str, rank: str, columns: dict[str, str], n: int
 ) -> DataFrame:
-    """Ranked rows to columns: ``columns`` maps a value column to an output prefix.
-
-    Rows must be unique per key and rank with ranks 1 to ``n``, so the list that is
-    gathered per key never has more than ``n`` entries.
-    """
-    entry = F.struct(F.col(rank).alias("r"), *[F.col(c) for c in columns])
-    rows = df.filter(F.col(rank) <= n).groupBy(key).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.col(rank), entry))
-        ).alias("__rows")
-    )
-    at = {k: F.try_element_at(F.col("__rows"), F.lit(k).cast("bigint")) for k in range(1, n + 1)}
-    return rows.select(
-        key,
-        *[at[k][c].alias(f"{p}_{k}") for c, p in columns.items() for k in range(1, n + 1)],
-    )
+    """Ranked rows to columns: ``columns`` maps a value column to an output prefix."""
+    lists = ranked_lists(df, key, rank, list(columns), n, "__rows")
+    return lists.select(key, *list_columns("__rows", columns, n))

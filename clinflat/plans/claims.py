@@ -13,7 +13,7 @@ from clinflat.functions import codes
 from clinflat.functions.temporal import to_full_date
 from clinflat.functions.text import strip_dots
 from clinflat.operators.joins import lookup, never_broadcast
-from clinflat.operators.ranking import first_k_per_key, pivot_ranked, rank_all
+from clinflat.operators.ranking import first_k_per_key, list_columns, rank_all, ranked_lists
 from clinflat.plans.common import RunInfo, empty, text
 
 # Care settings, claim types and payers.
@@ -21,6 +21,7 @@ URGENT_CARE_TYPE = "702927004"
 MEDICAL_CLAIM_TYPES = ("professional", "institutional")
 UNINSURED = "NO_INSURANCE"
 DIAGNOSIS_COLUMNS = 25
+DIAGNOSIS_FIELDS = {"icd10_code": "diagnosis_code", "on_admission_code": "diagnosis_poa"}
 ICD10_SYSTEMS = (codes.ICD10_CM, codes.ICD10)
 PROCEDURE_SYSTEMS = (codes.CPT, codes.HCPCS)
 
@@ -166,21 +167,20 @@ def claim_diagnoses(eob_diagnosis: DataFrame, condition: DataFrame, code_map: Da
     return ranked.select("claim_id", "icd10_code", "on_admission_code", "diagnosis_rank")
 
 
-def claim_diagnosis_columns(
+def claim_diagnosis_lists(
     eob_diagnosis: DataFrame, condition: DataFrame, code_map: DataFrame, n: int = DIAGNOSIS_COLUMNS
 ) -> DataFrame:
-    """One row per claim with its first ``n`` diagnoses and admission flags as columns.
-    Ranks are those of :func:`claim_diagnoses`; only the first ``n`` are computed."""
+    """One row per claim with its first ``n`` diagnoses as an array in rank order. Ranks are
+    those of :func:`claim_diagnoses`; only the first ``n`` are computed."""
     order = [F.col("sequence"), F.col("icd10_code"), F.col("on_admission_code")]
     dx = coded_diagnoses(eob_diagnosis, condition, code_map)
     ranked = first_k_per_key(dx, ["claim_id"], order, n, "diagnosis_rank")
-    return pivot_ranked(
-        ranked,
-        "claim_id",
-        "diagnosis_rank",
-        {"icd10_code": "diagnosis_code", "on_admission_code": "diagnosis_poa"},
-        n,
-    )
+    return ranked_lists(ranked, "claim_id", "diagnosis_rank", list(DIAGNOSIS_FIELDS), n, "diagnoses")
+
+
+def claim_diagnosis_columns(lists: DataFrame, n: int = DIAGNOSIS_COLUMNS) -> DataFrame:
+    """The lists of :func:`claim_diagnosis_lists` as diagnosis and admission flag columns."""
+    return lists.select("claim_id", *list_columns("diagnoses", DIAGNOSIS_FIELDS, n))
 
 
 def enrolment_spans(headers: DataFrame, patient: DataFrame) -> DataFrame:
@@ -255,13 +255,14 @@ def _money(c: Column, name: str) -> Column:
 
 
 def medical_claims(
-    headers: DataFrame, eob_item: DataFrame, diagnosis_columns: DataFrame, run: RunInfo
+    headers: DataFrame, eob_item: DataFrame, diagnosis_lists: DataFrame, run: RunInfo
 ) -> DataFrame:
     """Professional and institutional claim lines with the diagnoses of their claim.
 
-    Headers and diagnosis columns are one row per claim and are joined first; the long
-    line table comes last, so a claim with very many lines only skews one join, which
-    adaptive execution can split.
+    Headers and diagnosis lists are one row per claim and are joined first; the long line
+    table comes last, so a claim with very many lines only skews one join, which adaptive
+    execution can split. Diagnoses travel as one array and become columns at the very end,
+    which keeps the joined rows narrow.
     """
     lines = eob_item.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES)).select(
         F.col("eob_id").alias("__line_claim"),
@@ -276,7 +277,7 @@ def medical_claims(
         "coinsurance_amount",
         "deductible_amount",
     )
-    dx = diagnosis_columns.withColumnRenamed("claim_id", "__dx_claim")
+    dx = diagnosis_lists.withColumnRenamed("claim_id", "__dx_claim")
     claims = headers.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES)).join(
         never_broadcast(dx), F.col("claim_id") == F.col("__dx_claim"), "left"
     )
@@ -324,8 +325,7 @@ def medical_claims(
         _money(F.col("deductible_amount"), "deductible_amount"),
         _money(F.coalesce("allowed_amount", zero), "total_cost_amount"),
         F.when(F.col("__dx_claim").isNotNull(), F.lit("icd-10-cm")).alias("diagnosis_code_type"),
-        *[f"diagnosis_code_{k}" for k in slots],
-        *[f"diagnosis_poa_{k}" for k in slots],
+        *list_columns("diagnoses", DIAGNOSIS_FIELDS, DIAGNOSIS_COLUMNS),
         empty("procedure_code_type"),
         *[empty(f"procedure_code_{k}") for k in slots],
         *[empty(f"procedure_date_{k}", "date") for k in slots],
