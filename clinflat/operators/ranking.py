@@ -71,13 +71,20 @@ def rank_all(
     )
     sizes = counted.groupBy(*keys, "__block").agg(F.sum("__n").alias("__size"))
     offsets = sizes.select(
-        *keys, "__block", F.coalesce(F.sum("__size").over(before_block), F.lit(0)).alias("__before")
+        *[F.col(k).alias(f"__o_{k}") for k in keys],
+        F.col("__block").alias("__o___block"),
+        F.coalesce(F.sum("__size").over(before_block), F.lit(0)).alias("__before"),
     )
-    placed = counted.withColumn(
-        "__start", F.coalesce(F.sum("__n").over(in_block), F.lit(0))
-    ).join(offsets, [*keys, "__block"])
+    # Null-safe, so that a null key is a key like any other; it also keeps both sides of
+    # the join free of extra filters, so they share the counted rows.
+    matched = F.lit(True)
+    for k in [*keys, "__block"]:
+        matched = matched & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    placed = counted.withColumn("__start", F.coalesce(F.sum("__n").over(in_block), F.lit(0)))
     columns = [*keys, number, *ties]
-    placed = placed.select(*columns, "__n", (F.col("__start") + F.col("__before")).alias("__start"))
+    placed = placed.join(offsets, matched).select(
+        *columns, "__n", (F.col("__start") + F.col("__before")).alias("__start")
+    )
 
     def repeated(rows: DataFrame, n: Column) -> DataFrame:
         copy = F.explode(F.sequence(F.lit(1), n))

@@ -259,10 +259,11 @@ def medical_claims(
 ) -> DataFrame:
     """Professional and institutional claim lines with the diagnoses of their claim.
 
-    Headers and diagnosis lists are one row per claim and are joined first; the long line
-    table comes last, so a claim with very many lines only skews one join, which adaptive
-    execution can split. Diagnoses travel as one array and become columns at the very end,
-    which keeps the joined rows narrow.
+    Lines meet their header first and the diagnoses last. Both sides of the first join come
+    straight from a shuffle, so adaptive execution can split a claim with very many lines;
+    the result is then shuffled again for the second join, which it can split as well.
+    Without such a claim both joins share one partitioning. Diagnoses travel as one array
+    and become columns at the very end, which keeps the joined rows narrow.
     """
     lines = eob_item.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES)).select(
         F.col("eob_id").alias("__line_claim"),
@@ -278,10 +279,9 @@ def medical_claims(
         "deductible_amount",
     )
     dx = diagnosis_lists.withColumnRenamed("claim_id", "__dx_claim")
-    claims = headers.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES)).join(
-        never_broadcast(dx), F.col("claim_id") == F.col("__dx_claim"), "left"
-    )
-    c = claims.join(never_broadcast(lines), F.col("claim_id") == F.col("__line_claim"))
+    claims = headers.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES))
+    c = never_broadcast(lines).join(claims, F.col("claim_id") == F.col("__line_claim"))
+    c = c.join(never_broadcast(dx), F.col("__line_claim") == F.col("__dx_claim"), "left")
     institutional = F.col("claim_type") == "institutional"
     stay = institutional & (F.col("class_code") == "IMP")
     zero = F.lit(0.0)

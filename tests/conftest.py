@@ -1,3 +1,4 @@
+import itertools
 import json
 import os
 import sys
@@ -28,8 +29,10 @@ def spark():
 def ndjson(spark, tmp_path):
     """Write records as newline-delimited JSON and read them with a schema."""
 
+    number = itertools.count()
+
     def read(records, schema):
-        path = tmp_path / "records.ndjson"
+        path = tmp_path / f"records{next(number)}.ndjson"
         path.write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records))
         return spark.read.schema(schema).option("mode", "FAILFAST").json(str(path))
 

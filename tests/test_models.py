@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from clinflat.plans import claims, clinical, reports
 from clinflat.plans.common import RunInfo
@@ -100,3 +101,53 @@ def test_every_flat_table_feeds_its_model(ndjson):
     record = {"id": "i1", "patient": {"reference": "Patient/p"}, "doseQuantity": {"value": 0.5}, "occurrenceDateTime": "2020"}
     got = clinical.immunizations(flat(ndjson, "immunization", [record]), RUN).first()
     assert (got.person_id, got.source_dose, got.occurrence_date, got.data_source) == ("p", "0.5", None, "test")
+
+
+def test_a_claim_with_most_of_the_lines_is_split(spark, ndjson):
+    """A third of all lines in one claim: both joins are split, and no row is lost."""
+    n = 6000
+    line_claim = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 50))
+    empty_items = flat(ndjson, "explanation_of_benefit_item", [{"id": "x"}])
+    names = {f.name: f.dataType for f in empty_items.schema.fields}
+    known = {
+        "eob_id": line_claim,
+        "sequence": F.col("id"),
+        "claim_type": F.lit("professional"),
+        "product_display": F.sha2(F.col("id").cast("string"), 512),
+        "service_start": F.lit("2020-01-01"),
+        "product_system": F.lit("http://www.ama-assn.org/go/cpt"),
+        "product_code": F.sha2(F.col("id").cast("string"), 512),
+        "paid_amount": F.lit(1.0),
+    }
+    columns = [(known[c] if c in known else F.lit(None)).cast(t).alias(c) for c, t in names.items()]
+    items = spark.range(0, n, 1, 8).select(*columns)
+    ids = ["hot", *[f"c{i}" for i in range(50)]]
+    eob = flat(ndjson, "explanation_of_benefit", [{"id": i, "type": {"coding": [{"code": "professional"}]}, "insurer": {"display": "Acme"}, "provider": {"reference": "Practitioner/1"}} for i in ids])
+    encounter = flat(ndjson, "encounter", [])
+    practitioner = flat(ndjson, "practitioner", [{"id": "1"}])
+    lists = spark.createDataFrame(
+        [(i, [(1, "A" + i, "Y")]) for i in ids],
+        "claim_id string, diagnoses array<struct<diagnosis_rank:bigint,icd10_code:string,on_admission_code:string>>",
+    )
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        headers = claims.claim_headers(eob, items, encounter, practitioner)
+        out = claims.medical_claims(headers, items, lists, RUN).select("claim_id", "claim_line_number", "diagnosis_code_1", "paid_amount")
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert len(got) == n and len({r.claim_line_number for r in got}) == n
+    assert sum(r.claim_id == "hot" for r in got) == n // 3
+    assert all(r.diagnosis_code_1 == "A" + r.claim_id for r in got)
+    assert plan.split("Initial Plan")[0].count("skew=true") >= 1

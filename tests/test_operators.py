@@ -16,7 +16,7 @@ def skewed(n=900, seed=7):
     rnd = random.Random(seed)
     out = [("hot", 5, "same", None)] * (n // 3)
     for _ in range(n - len(out)):
-        key = "hot" if rnd.random() < 0.5 else f"k{rnd.randrange(20)}"
+        key = "hot" if rnd.random() < 0.5 else rnd.choice([f"k{i}" for i in range(20)] + [None])
         number = None if rnd.random() < 0.05 else rnd.randrange(400)
         out.append((key, number, rnd.choice("abc"), rnd.choice(["Y", "N", None])))
     return out
@@ -27,7 +27,7 @@ def expected_ranks(data):
         return tuple((v is None, v if v is not None else 0) for v in row[1:])
 
     result, seen = Counter(), Counter()
-    for row in sorted(data, key=lambda r: (r[0], order(r))):
+    for row in sorted(data, key=lambda r: (r[0] or "", order(r))):
         seen[row[0]] += 1
         result[(*row, seen[row[0]])] += 1
     return result
