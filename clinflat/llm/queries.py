@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflat.llm import byte_bpe, exact_dedup, mixing, quality_rules, simhash, token_files, warc
+from clinflat.llm import (
+    byte_bpe,
+    exact_dedup,
+    lm_scoring,
+    mixing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+    warc,
+)
 from clinflat.llm.common import table
 
 
@@ -28,6 +38,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -61,6 +79,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing,
