@@ -37,7 +37,7 @@ SAMPLE = 64
 #: Hulls of an anchor in the sample from which its strings are dealt by themselves: a share, and a number at least.
 HOT_SHARE, HOT_LEAST = 0.002, 64
 #: Strings that are sorted at a time.
-SORTED = 4_000_000
+SORTED = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 #: Kinds of rows before the sort: hulls, strings of hot anchors, runs that are settled.
 HULL, STRING, RUN = 0, 1, 2
