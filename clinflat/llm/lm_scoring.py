@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinflat.llm.common import in_small_batches, staged, text_of
@@ -64,6 +64,14 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame, listed: int) -> DataFrame:
+    """The words counted more often than a limit, the lowest that leaves `listed` of them at most."""
+    by_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    upto = by_n.select("n", F.sum("words").over(Window.orderBy(F.col("n").desc())).alias("upto"))
+    limit = upto.where(F.col("upto") <= listed).agg(F.min("n")).first()[0]
+    return counts.where(F.col("n") >= limit) if limit is not None else counts.limit(0)
+
+
 def pair_counts(docs: DataFrame, class_of: dict[bytes, int], classes: int, text_col: str = "text") -> np.ndarray:
     """Square table of how often class b follows class a; a text starts after an end."""
 
@@ -147,7 +155,7 @@ def score(
     training = docs.where(~held_out(id_col))
     counts = staged(word_counts(training, text_col), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(listed).collect()  # `listed` rows at most
+    top = _most_frequent(counts, listed).orderBy(F.col("n").desc(), "word").collect()  # `listed` rows at most
     place = {bytes(row.word): k for k, row in enumerate(top)}
     times = np.array([row.n for row in top], np.float64)
     words = [w for w in place if w != END_WORD][: classes - 2]
