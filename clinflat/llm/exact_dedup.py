@@ -83,8 +83,9 @@ def exact_dedup(
         "doc_id", "text_sha256", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )
     possible = asked.where("maybe").select("doc_id", "text_sha256")
-    groups = possible.groupBy("text_sha256").agg(
-        F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    # kept as a table, so that Spark can split a large group in the join
+    groups = checkpointed(
+        possible.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     )
     several = possible.join(groups, "text_sha256").select(*single.columns)
     return single.unionByName(several).select(

@@ -70,7 +70,7 @@ def links(prints: DataFrame) -> DataFrame:
     pairs = list(combinations(range(4), 2))
     keys = [F.struct(F.lit(k).alias("pair"), _quarters(a, b).alias("value")) for k, (a, b) in enumerate(pairs)]
     keyed = prints.select("print", F.explode(F.array(*keys)).alias("k")).select("print", "k.pair", "k.value")
-    sizes = keyed.groupBy("pair", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    sizes = checkpointed(keyed.groupBy("pair", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
     met = checkpointed(keyed.join(sizes, ["pair", "value"]))
 
     few = met.where(F.col("members") <= PAIRS_UPTO).select("pair", "value", "print")
@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "print", "first", F.coalesce("root", "print").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = rooted.select("print", "root").join(named, "root").select("print", "component_id")
+    members = checkpointed(rooted.select("print", "root").join(named, "root").select("print", "component_id"))
     return printed.join(members, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )

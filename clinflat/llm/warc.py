@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflat.llm.common import in_small_batches, shared_folder, text_of
+from clinflat.llm.common import checkpointed, in_small_batches, shared_folder, text_of
 
 CHUNK_BYTES = 1 << 20
 ROW = "archive long, record long, chunk long, last boolean, data binary, payload_sha1 binary"
@@ -83,7 +83,7 @@ def records(
     named = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(payload_col).alias("payload")
     ).withColumn("digest", F.sha1("payload"))
-    groups = named.groupBy("digest").agg(F.max("page_id").alias("first"))
+    groups = checkpointed(named.groupBy("digest").agg(F.max("page_id").alias("first")))
     small = F.octet_length("payload") < min_revisit_bytes
     typed = named.join(groups, "digest").select(
         F.col("page_id").cast("string").alias("page_id"),
