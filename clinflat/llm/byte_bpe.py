@@ -212,9 +212,16 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 
 def round_trip(
-    docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
-    """Per document doc_id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded, in one pass.
+    """Per document doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array of int).
+
+    Texts are encoded, then decoded, in one pass.
 
     The digests are those of the decimal ids joined by commas and of the decoded bytes. Nulls and
     rows are treated as in encode().
@@ -224,17 +231,24 @@ def round_trip(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = loaded(ranks, pattern)
         for batch in batches:
-            counts, id_sums, content_sums = [], [], []
+            counts, id_sums, content_sums, lists = [], [], [], []
             for packed in coder.encode(batch.column(1).to_pylist()):
                 ids = np.frombuffer(packed, "<u4").tolist()
                 counts.append(len(ids))
                 decimal = ",".join([texts[i] if i < len(texts) else str(i) for i in ids])
                 id_sums.append(hashlib.sha256(decimal.encode()).hexdigest())
                 content_sums.append(hashlib.sha256(coder.decode(ids)).hexdigest())
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_sums), pa.array(content_sums)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    lists.append(np.array(ids, np.int32))
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_sums, pa.string())]
+            columns.append(pa.array(content_sums, pa.string()))
+            if with_ids:
+                columns.append(pa.array(lists, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     in_small_batches(docs.sparkSession, 500)
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" * with_ids
     return source.mapInArrow(rows, schema)

@@ -178,7 +178,7 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of docs whose verdict is kept; a null id keeps its row only if its text passes."""
+    """The documents of docs whose verdict is kept; rows that repeat an id stay if one of them is kept."""
     kept = quality_verdicts(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clinflat.llm import (
     byte_bpe,
     exact_dedup,
+    line_dedup,
     lm_scoring,
     mixing,
     quality_rules,
@@ -50,6 +51,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_folder(spark)
     token_files.write_ids(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), end_id=2)
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,

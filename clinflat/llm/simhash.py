@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of docs whose id is that of their component: one of each group."""
+    """The documents of docs whose id is that of their component: one of each group, with the rows that repeat its id."""
     found = near_duplicates(docs, id_col, text_col)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"))
     return docs.join(first.distinct(), F.col(id_col).eqNullSafe(F.col("_first")), "left_semi")
