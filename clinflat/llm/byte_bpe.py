@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflat.llm.chunks import ChunkCache
+from clinflat.llm.chunks import ChunkCache, pieces_of
 from clinflat.llm.common import in_small_batches, text_of
 
 #: Bytes of words that are merged at once.
@@ -152,7 +152,7 @@ class ByteBpe:
         if len(self.pieces) > self.cache.size:
             self.pieces.clear()
         known, whole = self.pieces, self.pairs.ids
-        found = [self.find(chunk) for chunk in chunks]
+        found = [pieces_of(chunk, self.find) for chunk in chunks]
         new = list({p for pieces in found for p in pieces if p not in known})
         content = [p.encode() for p in new]
         # a piece that is a token itself is that token

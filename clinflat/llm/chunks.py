@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable, Sequence
 
 CUT = re.compile(r" (?=\S)")
+MARKS = frozenset(".,;:!?")
 
 
 class ChunkCache:
@@ -26,27 +27,42 @@ class ChunkCache:
         if len(self.known) > self.size:
             self.known.clear()
         known, get = self.known, self.known.get
-        cut: list[list[str]] = []
+        cut: list[tuple[list[bytes | None], list[tuple[int, str]]]] = []
         new: set[str] = set()
         for text in texts:
             # the first chunk has no space before it: it is kept under its text after a space
             parts = text.split(" ")
-            first = parts[0] = " " + parts[0]
+            parts[0] = " " + parts[0]
             found = list(map(get, parts))
+            lost: list[tuple[int, str]] = []
             if None in found:
-                lost = [p for p, f in zip(parts, found) if f is None]
-                if any(not p or p[0].isspace() for p in lost if p != first):
+                lost = [(k, p) for k, p in enumerate(parts) if found[k] is None]
+                if any(k and (not p or p[0].isspace()) for k, p in lost):
                     parts = CUT.split(text)
                     parts[0] = " " + parts[0]
-                    lost = [p for p in parts if p not in known]
-                new.update(lost)
-            cut.append(parts)
+                    found = list(map(get, parts))
+                    lost = [(k, p) for k, p in enumerate(parts) if found[k] is None]
+                new.update([p for _, p in lost])
+            cut.append((found, lost))
         extra: dict[str, bytes] = {}
         if new:
             fresh = list(new)
             packed = self.encode([p[1:] if p[0] == " " else " " + p for p in fresh])
             for part, ids in zip(fresh, packed):
-                (known if len(part) <= self.longest else extra)[part] = ids
-        if extra:
-            return [b"".join([known[p] if p in known else extra[p] for p in parts]) for parts in cut]
-        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+                extra[part] = ids
+                if len(part) <= self.longest:
+                    known[part] = ids
+        for found, lost in cut:
+            for k, p in lost:
+                found[k] = extra[p]
+        return [b"".join(found) for found, _ in cut]
+
+
+def pieces_of(chunk: str, find: Callable[[str], list[str]]) -> list[str]:
+    """find(chunk); letters after at most one space, and a mark after them, need no pattern."""
+    word = chunk[1:] if chunk[:1] == " " else chunk
+    if word.isalpha():
+        return [chunk]
+    if word[-1:] in MARKS and word[:-1].isalpha():
+        return [chunk[:-1], chunk[-1]]
+    return find(chunk)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflat.llm.chunks import ChunkCache
+from clinflat.llm.chunks import ChunkCache, pieces_of
 from clinflat.llm.common import in_small_batches, shared_folder, staged, text_of
 
 #: Ids after which a block is closed; a longer document is a block of its own.
@@ -62,6 +62,16 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
+def narrow(ids: np.ndarray) -> np.ndarray:
+    """Ids in two bytes each after a zero byte, or in four after a one, if one of them needs that."""
+    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
+    return np.append(np.uint8(wide), ids.astype("<u4" if wide else "<u2").view(np.uint8))
+
+
+def widened(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<u4" if packed[0] else "<u2", offset=1)
+
+
 class Library:
     """A tokenizer file of the tokenizers library, encoding texts as packed ids.
 
@@ -91,6 +101,7 @@ class Library:
             and cut.get("use_regex", True)
             and not cut.get("add_prefix_space")
         )
+        self.packed_id = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.added = [t["content"] for t in config.get("added_tokens", [])]
 
     def _whole(self, text: str) -> bytes:
@@ -108,15 +119,15 @@ class Library:
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         if len(self.pieces) > self.cache.size:
             self.pieces.clear()
-        known, letters, tokenize = self.pieces, self.letters, self.model.tokenize
+        known, letters, tokenize, packed_id = self.pieces, self.letters, self.model.tokenize, self.packed_id
         out, long = [], []
         for chunk in chunks:
             packed = []
-            for piece in self.find(chunk):
+            for piece in pieces_of(chunk, self.find):
                 ids = known.get(piece)
                 if ids is None:
                     tokens = tokenize(piece.encode().decode("latin-1").translate(letters))
-                    known[piece] = ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                    known[piece] = ids = b"".join([packed_id[t.id] for t in tokens])
                     if len(piece) > self.cache.longest:
                         long.append(piece)
                 packed.append(ids)
@@ -136,13 +147,14 @@ def loaded(path: str) -> Library:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document doc_id and packed ids (four bytes each), the end id last."""
+    """Per document doc_id and ids (narrow()), the end id last."""
     end = end_id.to_bytes(4, "little")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = loaded(tokenizer)
         for batch in batches:
-            packed = [ids + end for ids in library.encode(batch.column(1).to_pylist())]
+            ids = [np.frombuffer(ids + end, "<u4") for ids in library.encode(batch.column(1).to_pylist())]
+            packed = [narrow(x).tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"])
 
     in_small_batches(docs.sparkSession, 500)
@@ -157,7 +169,7 @@ def frequencies(encoded: DataFrame) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                n = np.bincount(np.frombuffer(packed, "<u4"), minlength=len(total))
+                n = np.bincount(widened(packed), minlength=len(total))
                 n[: len(total)] += total
                 total = n
         ids = np.flatnonzero(total)
@@ -205,7 +217,7 @@ def write_ids(
             waiting = 0
             for name, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 names.append(name)
-                held.append(np.frombuffer(packed, "<u4"))
+                held.append(widened(packed))
                 waiting = sum(map(len, held)) if len(held) == 1 else waiting + len(held[-1])
                 if waiting >= BLOCK_IDS:
                     yield closed()
