@@ -7,45 +7,17 @@ other row meets is unique and goes straight through; the rest are grouped by the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinflat.llm.bitmaps import MAX_BITS, asked, bitmaps, filter_bits, slot
 from clinflat.llm.common import SPACE, checkpointed, text_of
 
-#: Bits that one bitmap of Spark's bitmap aggregate holds.
-BITMAP_BITS = 32_768
-
-
-def _slot(seed: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64("text_sha256", F.lit(seed)), F.lit(bits))
-
-
-def _bit(bitmap: str, slot: Column) -> Column:
-    """The bit of a slot in its bitmap; false where the bitmap is null."""
-    place = slot % BITMAP_BITS
-    byte = F.conv(F.hex(F.substring(F.col(bitmap), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (place % 8 + 1).cast("int"))
-    return F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False))
-
-
-def filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
-    """Size of the filter: a power of two for the rows, max_bits at most."""
-    bits = BITMAP_BITS
-    while bits < rows * bits_per_row and bits * 2 <= max_bits:
-        bits *= 2
-    return bits
-
 
 def repeated_slots(digests: DataFrame, bits: int) -> DataFrame:
-    """Bitmaps of the slots that two or more rows meet: bits / 32768 rows of 4 KB at most."""
-    slots = digests.select(F.explode(F.array(_slot(1, bits), _slot(2, bits))).alias("slot"))
-    return (
-        slots.groupBy("slot")
-        .count()
-        .where("count > 1")
-        .groupBy((F.col("slot") / BITMAP_BITS).cast("long").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.col("slot") % BITMAP_BITS).alias("bitmap"))
-    )
+    """Bitmaps of the slots that two or more rows meet."""
+    slots = digests.select(F.explode(F.array(slot("text_sha256", 1, bits), slot("text_sha256", 2, bits))).alias("slot"))
+    return bitmaps(slots.groupBy("slot").count().where("count > 1"))
 
 
 def exact_dedup(
@@ -53,7 +25,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     bits_per_row: int = 16,
-    max_bits: int = 1 << 28,
+    max_bits: int = MAX_BITS,
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -69,20 +41,13 @@ def exact_dedup(
     normal = F.regexp_replace(text_of(text_col), SPACE, " ")
     digests = checkpointed(docs.select(F.col(id_col).alias("doc_id"), F.sha2(normal, 256).alias("text_sha256")))
     bits = filter_bits(digests.count(), bits_per_row, max_bits)
-    bitmaps = checkpointed(repeated_slots(digests, bits))
-
-    def looked_up(rows: DataFrame, seed: int) -> DataFrame:
-        slots = bitmaps.select(F.col("bucket").alias(f"bucket{seed}"), F.col("bitmap").alias(f"bitmap{seed}"))
-        bucket = (_slot(seed, bits) / BITMAP_BITS).cast("long")
-        return rows.join(F.broadcast(slots), bucket == F.col(f"bucket{seed}"), "left")
-
-    asked = looked_up(looked_up(digests, 1), 2).select(
-        "doc_id", "text_sha256", (_bit("bitmap1", _slot(1, bits)) & _bit("bitmap2", _slot(2, bits))).alias("maybe")
-    )
-    single = asked.where(~F.col("maybe")).select(
+    maps = checkpointed(repeated_slots(digests, bits))
+    both = asked(asked(digests, maps, "text_sha256", 1, bits, "first"), maps, "text_sha256", 2, bits, "second")
+    looked_up = both.select("doc_id", "text_sha256", (F.col("first") & F.col("second")).alias("maybe"))
+    single = looked_up.where(~F.col("maybe")).select(
         "doc_id", "text_sha256", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )
-    possible = asked.where("maybe").select("doc_id", "text_sha256")
+    possible = looked_up.where("maybe").select("doc_id", "text_sha256")
     # kept as a table, so that Spark can split a large group in the join
     groups = checkpointed(
         possible.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
