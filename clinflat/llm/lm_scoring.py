@@ -65,11 +65,12 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _most_frequent(counts: DataFrame, listed: int) -> DataFrame:
-    """The words counted more often than a limit, the lowest that leaves `listed` of them at most."""
+    """The words counted as often as a limit, the lowest that leaves `listed` of them at most, and the end."""
     by_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
     upto = by_n.select("n", F.sum("words").over(Window.orderBy(F.col("n").desc())).alias("upto"))
     limit = upto.where(F.col("upto") <= listed).agg(F.min("n")).first()[0]
-    return counts.where(F.col("n") >= limit) if limit is not None else counts.limit(0)
+    # a text's end is listed in any case
+    return counts.where((F.col("n") >= F.lit(limit)) | (F.octet_length("word") == 0))
 
 
 def pair_counts(docs: DataFrame, class_of: dict[bytes, int], classes: int, text_col: str = "text") -> np.ndarray:
