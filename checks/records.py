@@ -771,11 +771,8 @@ TERMINOLOGY_SQL = {
 
 
 def source(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A given table. A file with fewer splits than there are cores is spread over them;
-    large tables have more splits than cores and are read as they are."""
-    df = spark.read.parquet(f"{folder}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) * 4 < cores else df
+    """A given table, dealt as its splits are."""
+    return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
 def records(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -344,7 +344,7 @@ def pharmacy_claims(
         "claim_id", "person_id", "payer", "plan", "rendering_npi", "paid_date",
         "payment_amount", "total_submitted",
     )
-    lines = eob_item.select(
+    lines = eob_item.filter(F.col("claim_type") == "pharmacy").select(
         F.col("eob_id").alias("__line_claim"), "sequence", "service_start", "product_system",
         "product_code", "quantity", "paid_amount", "allowed_amount", "submitted_amount",
         "net_amount", "coinsurance_amount", "deductible_amount",

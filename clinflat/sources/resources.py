@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinflat.operators.joins import never_broadcast
 from clinflat.sources.schemas import BUNDLE_SCHEMA, resource_schema
 
 SUFFIXES = (".ndjson", ".ndjson.gz", ".jsonl")
@@ -127,7 +128,7 @@ def resolve_conditional_refs(df: DataFrame, reference: str, target: DataFrame, t
     # Rows without a search keep a null system, which matches nothing, but they hash by
     # their own text, so they do not pile up in one partition.
     keyed = df.withColumn("__s", system).withColumn("__v", F.coalesce(value, F.col(reference)))
-    joined = keyed.join(index, (F.col("__s") == F.col("__system")) & (F.col("__v") == F.col("__value")), "left")
+    joined = keyed.join(never_broadcast(index), (F.col("__s") == F.col("__system")) & (F.col("__v") == F.col("__value")), "left")
     resolved = F.coalesce(F.concat(F.lit(f"{target_type}/"), "__id"), F.col(reference))
     return joined.withColumn(reference, resolved).select(*df.columns)
 
