@@ -181,16 +181,49 @@ register(
 
 
 def _strict_single(spark: SparkSession, folder: str) -> DataFrame:
-    """A strict column over records that have at most one item."""
-    few = FlatView("few", "Order", [Select([Col("id", "id"), Col("n", "items.n", "integer")])],
-                   where=[lambda n: n["items"].count() <= 1])
-    return few.apply(orders(spark, folder))
+    """A strict column over a path that has at most one item on every record."""
+    first = FlatView("first", "Order", [Select([Col("id", "id"), Col("n", lambda n: n["items"].where(lambda x: x["n"] == 1)["n"], "integer")])])
+    return first.apply(orders(spark, folder))
 
 
 register(
     "strict_single",
     _strict_single,
-    f"select {ID}, if(o_orderkey % 4 = 1, 1, null) as n from orders where o_orderkey % 4 <= 1",
+    f"select {ID}, if(o_orderkey % 4 >= 1, 1, null) as n from orders",
+)
+
+
+def _partial_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Birth dates, some without a day, compared with dates of either precision."""
+
+    def born(n: Node) -> Path:
+        return n["birthDate"].as_partial()
+
+    columns = {
+        "same": lambda n: born(n) == "1940-04",
+        "differs": lambda n: born(n) != "1940-04",
+        "before": lambda n: born(n) < "1940-04",
+        "until": lambda n: born(n) <= "1940-04-10",
+        "after": lambda n: born(n) > "1940-04",
+        "since": lambda n: born(n) >= "1940-04-10",
+        "member": lambda n: born(n).contains_item("1940-04-10"),
+    }
+    view = FlatView("dates", "Patient", [Select([Col("id", "id"), *[Col(k, f, "boolean") for k, f in columns.items()]])])
+    return view.apply(records(spark, folder, "patient"))
+
+
+register(
+    "partial_dates",
+    _partial_dates,
+    f"""select id, if(d is null, m = '1940-04', if(m = '1940-04', null, false)) as same,
+    if(d is null, m <> '1940-04', if(m = '1940-04', null, true)) as differs,
+    if(d is not null and m = '1940-04', null, m < '1940-04') as before,
+    if(d is null and m = '1940-04', null, coalesce(d <= date '1940-04-10', m < '1940-04')) as until,
+    if(d is not null and m = '1940-04', null, m > '1940-04') as after,
+    if(d is null and m = '1940-04', null, coalesce(d >= date '1940-04-10', m > '1940-04')) as since,
+    if(d is null and m = '1940-04', null, coalesce(d = date '1940-04-10', false)) as member
+    from (select cast(c_custkey as varchar) as id, strftime(date '1940-01-01' + cast(c_custkey % 20000 as int), '%Y-%m') as m,
+      if(c_custkey % 50 <> 0, date '1940-01-01' + cast(c_custkey % 20000 as int), null) as d from customer)""",
 )
 
 

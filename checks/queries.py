@@ -180,10 +180,10 @@ model("patient", Models.patients, "patient_table", "select * from patient_table"
 model("encounter", Models.encounters, "encounter_table", "select * from encounter_table")
 model("condition", Models.conditions, "condition_table", "select * from condition_table")
 model("procedure", Models.procedures, "procedure", model_sql.PROCEDURE_TABLE)
-model("observation", Models.observations, "observation observation_component", model_sql.OBSERVATION_TABLE)
+model("observation", Models.observations, "", model_sql.OBSERVATION_TABLE)
 model("lab_result", Models.labs, "observation diagnostic_report_result", model_sql.LAB_TABLE)
 model(
-    "medication", Models.medications, "medication_request medication package_map", model_sql.MEDICATION_TABLE
+    "medication", Models.medications, "package_map", model_sql.MEDICATION_TABLE
 )
 model("immunization", Models.immunizations, "immunization", model_sql.IMMUNIZATION_TABLE)
 model("location", Models.locations, "location organization", model_sql.LOCATION_TABLE)

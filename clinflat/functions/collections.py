@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinflat.functions.temporal import compare_partial
+
 # Type names and the choice-element suffix rule of the record standard.
 STRING_TYPES = (
     "string", "code", "id", "uri", "url", "canonical", "oid", "uuid", "markdown",
@@ -327,6 +329,10 @@ class Path:
         """Ids of references (see :func:`reference_key`)."""
         return self["reference"].map(lambda r: reference_key(r, target), T.StringType())
 
+    def as_partial(self) -> PartialDates:
+        """The same values, compared as dates and times of their written precision."""
+        return PartialDates(self.col, self.dtype, self.plain, self.clean)
+
     # -- comparison ----------------------------------------------------------------
 
     def equals(self, other: Any) -> Column:
@@ -372,6 +378,42 @@ class Path:
         return self.one(">=") >= _one(other)
 
 
+class PartialDates(Path):
+    """Dates and times as text, which may be partial ("2020", "2020-06").
+
+    A comparison is null where the shared part is equal and one side is less precise, as
+    ``1960-06`` may be any day of that month.
+    """
+
+    def _order(self, other: Any, label: str) -> Column:
+        return compare_partial(self.one(label), _one(other))
+
+    def equals(self, other: Any) -> Column:
+        if not self.many and not (isinstance(other, Path) and other.many):
+            return self._order(other, "=") == 0
+        mine = self.array
+        theirs = other.array if isinstance(other, Path) else F.array_compact(F.array(value_of(other)))
+        same = F.forall(F.zip_with(mine, theirs, lambda a, b: compare_partial(a, b) == 0), lambda x: x)
+        same = F.when(F.array_size(mine) == F.array_size(theirs), same).otherwise(F.lit(False))
+        return F.when((F.array_size(mine) > 0) & (F.array_size(theirs) > 0), same)
+
+    def contains_item(self, item: Any) -> Column:
+        v = value_of(item)
+        return F.when(v.isNotNull(), F.exists(self.array, lambda x: compare_partial(x, v) == 0))
+
+    def __lt__(self, other: Any) -> Column:
+        return self._order(other, "<") < 0
+
+    def __le__(self, other: Any) -> Column:
+        return self._order(other, "<=") <= 0
+
+    def __gt__(self, other: Any) -> Column:
+        return self._order(other, ">") > 0
+
+    def __ge__(self, other: Any) -> Column:
+        return self._order(other, ">=") >= 0
+
+
 def _one(x: Any) -> Column:
     return x.one() if isinstance(x, Path) else value_of(x)
 

@@ -95,13 +95,17 @@ def _time_boundary(c: Column, low: bool) -> Column:
 
 
 def _decimal_boundary(c: Column, low: bool) -> Column:
-    """``c`` is the number as written, because trailing zeros count as precision."""
+    """``c`` is the number as written, because trailing zeros count as precision. Up to 20
+    whole digits and 17 places; longer numbers are an error."""
     exponent = F.coalesce(F.regexp_extract(c, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
     written = F.length(F.regexp_extract(c, r"\.(\d+)", 1))
     places = F.greatest(written - exponent, F.lit(0))
     half = F.concat(F.lit("0."), F.repeat(F.lit("0"), places), F.lit("5")).try_cast("decimal(38,18)")
     value = c.try_cast("decimal(38,18)")
-    return (value - half if low else value + half).cast("double")
+    number = c.rlike(r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?$")
+    too_long = number & (value.isNull() | (places >= 18))
+    error = F.raise_error(F.lit("a number has more digits than its boundaries can be computed with"))
+    return F.when(too_long, error).otherwise((value - half if low else value + half).cast("double"))
 
 
 def low_boundary(c: Column, kind: str) -> Column:

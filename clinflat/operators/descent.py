@@ -2,7 +2,8 @@
 
 Spark types cannot be recursive, so a self-nesting schema is declared down to a fixed
 depth. The level after the last declared one is kept as raw text: it is null for data
-that fits, and the descent raises an error when it is not, so nothing is lost silently.
+that fits. When it is not, below the repeated paths or below any other array that the view
+reads of a descended record, the job ends with an error, so nothing is lost silently.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 
 from clinflat.functions.collections import Path, PathError
 
+TOO_DEEP = "records nest deeper than the declared schema"
+
 
 def nested_schema(level: Callable[[T.DataType], T.StructType], depth: int) -> T.StructType:
     """Schema of a self-nesting record. ``level(child)`` builds one level around the type
@@ -50,15 +53,15 @@ def conform(value: Path, target: T.DataType) -> Column:
             value.col, lambda x: conform(Path(x, value.item_type), target.elementType)
         )
     if isinstance(value.dtype, T.StringType):
-        # Raw text of the level below the last one; the descent checks that it is null.
-        return F.lit(None).cast(target)
+        # Raw text of the level below the last one.
+        return F.when(value.col.isNotNull(), F.raise_error(F.lit(TOO_DEEP))).otherwise(F.lit(None).cast(target))
     raise PathError(f"cannot read {value.dtype.simpleString()} as {target.simpleString()}")
 
 
 def _guarded(leaf: Path, target: T.ArrayType) -> Column:
     text = leaf.first().col
     return F.when(
-        text.isNotNull(), F.raise_error(F.lit("records nest deeper than the declared schema"))
+        text.isNotNull(), F.raise_error(F.lit(TOO_DEEP))
     ).otherwise(F.array().cast(target))
 
 

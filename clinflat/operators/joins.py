@@ -42,17 +42,20 @@ def left_or_join(
     Spark can only run an OR condition as a nested loop. Here each pair is an equality
     join that leaves out matches of earlier pairs, and left rows without any match are
     added at the end. The rows, with their multiplicity, are those of the OR join.
-    ``keep`` names the right columns to return.
+    ``keep`` names the right columns to return. Rows without a key are spread by a hash of
+    the row in the search for rows without a match, as they match nothing.
     """
     l, r = left.alias("l"), right.alias("r")
-    parts, rest = [], left
+    parts, rest, row = [], left, F.xxhash64(*left.columns).cast("string")
     for i, (a, b) in enumerate(pairs):
         condition = F.col(f"l.{a}") == F.col(f"r.{b}")
         for c, d in pairs[:i]:
             earlier = F.col(f"l.{c}") == F.col(f"r.{d}")
             condition = condition & ~F.coalesce(earlier, F.lit(False))
         parts.append(l.join(r, condition).select("l.*", *[F.col(f"r.{k}") for k in keep]))
-        rest = rest.join(right.select(F.col(b).alias("__match")).distinct(), F.col(a) == F.col("__match"), "left_anti")
+        matches = right.where(F.col(b).isNotNull()).select(F.col(b).alias("__match")).distinct()
+        keyed = rest.withColumn("__key", spread_nulls(F.col(a), row))
+        rest = keyed.join(matches, F.col("__key") == F.col("__match"), "left_anti").drop("__key")
     types = {f.name: f.dataType for f in right.schema.fields}
     parts.append(rest.select("*", *[F.lit(None).cast(types[k]).alias(k) for k in keep]))
     out = parts[0]

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096
+BLOCK_BITS = 12
+BLOCK = 1 << BLOCK_BITS
 
 
 def nulls_last(c: Column) -> Column:
@@ -50,12 +51,11 @@ def rank_all(
     ``df`` must consist of the keys, the number and the ties. A window over a whole key
     would sort it in one task, so the number range is cut into blocks: equal rows are
     counted first, each block is ranked by itself, and the sizes of earlier blocks are
-    added. A 32-bit number has at most 2^31 / 4096 blocks per key. Equal rows come back as
-    one entry with a count, and large counts are spread out before they are repeated.
+    added; the block of nulls comes last. A 32-bit number has at most 2^31 / 4096 blocks per
+    key, and a block holds the distinct ties of 4,096 numbers. Equal rows come back as one
+    entry with a count, and large counts are spread out before they are repeated.
     """
-    block = F.when(F.col(number).isNull(), F.lit(2**31)).otherwise(
-        F.floor(F.col(number) / F.lit(BLOCK))
-    )
+    block = F.coalesce(F.shiftright(F.col(number).cast("bigint"), BLOCK_BITS), F.lit(2**63 - 1))
     counted = (
         df.groupBy(*keys, number, *ties)
         .agg(F.count(F.lit(1)).alias("__n"))
@@ -86,22 +86,13 @@ def rank_all(
         *columns, "__n", (F.col("__start") + F.col("__before")).alias("__start")
     )
 
-    def repeated(rows: DataFrame, n: Column) -> DataFrame:
-        copy = F.explode(F.sequence(F.lit(1), n))
-        return rows.select(*columns, "__start", copy.alias("__copy")).select(
-            *columns, (F.col("__start") + F.col("__copy")).cast("bigint").alias(rank)
-        )
-
-    single = repeated(placed.filter(F.col("__n") <= BLOCK), F.col("__n"))
+    # A row stands for at most BLOCK copies once its count is cut into chunks.
     chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / BLOCK)))
-    large = (
-        placed.filter(F.col("__n") > BLOCK)
-        .select("*", chunk.alias("__chunk"))
-        .repartition(*keys, number, "__chunk")
-        .withColumn("__start", F.col("__start") + F.col("__chunk") * BLOCK)
-        .withColumn("__n", F.least(F.col("__n") - F.col("__chunk") * BLOCK, F.lit(BLOCK)))
-    )
-    return single.unionByName(repeated(large, F.col("__n")))
+    chunks = placed.select("*", chunk.alias("__chunk")).repartition(*columns, "__chunk")
+    done = F.col("__chunk") * BLOCK
+    copy = F.explode(F.sequence(F.lit(1), F.least(F.col("__n") - done, F.lit(BLOCK))))
+    copies = chunks.select(*columns, (F.col("__start") + done).alias("__start"), copy.alias("__copy"))
+    return copies.select(*columns, (F.col("__start") + F.col("__copy")).cast("bigint").alias(rank))
 
 
 def ranked_lists(df: DataFrame, key: str, rank: str, columns: Sequence[str], n: int, name: str) -> DataFrame:

@@ -296,14 +296,13 @@ def immunizations(immunization: DataFrame, run: RunInfo) -> DataFrame:
 
 def locations(location: DataFrame, organization: DataFrame, run: RunInfo) -> DataFrame:
     """Locations with their organization, found by id or by source identifier."""
-    loc = location.withColumn("__org_id", F.coalesce("managing_organization_id", F.lit("")))
     org = organization.select(
         F.col("id").alias("__oid"), "source_identifier", "npi", F.col("name").alias("org_name")
     )
     joined = left_or_join(
-        loc.drop("source_identifier"),
+        location.drop("source_identifier"),
         org,
-        [("__org_id", "__oid"), ("managing_organization_identifier", "source_identifier")],
+        [("managing_organization_id", "__oid"), ("managing_organization_identifier", "source_identifier")],
         ["npi", "org_name"],
     )
     return joined.select(
@@ -341,8 +340,7 @@ def practitioners(practitioner: DataFrame, role: DataFrame, run: RunInfo) -> Dat
             F.coalesce("__best.affiliation.organization_name", "__any_affiliation").alias("affiliation"),
         )
     )
-    p = practitioner
-    return p.join(roles, F.col("npi") == F.col("__npi"), "left").select(
+    return lookup(practitioner, roles, F.col("npi"), "__npi", F.col("id")).select(
         text("id", "practitioner_id"),
         text("npi", "npi"),
         clean_name(F.col("given_name")).alias("first_name"),

@@ -112,5 +112,12 @@ def test_deeper_than_declared_is_an_error(ndjson):
     shallow = ndjson([FORM], schema(2))
     with pytest.raises(Exception, match="deeper than the declared schema"):
         run(shallow, Select([Col("l", "linkId")], repeat=["item"])).collect()
+    hidden = {"linkId": "b", "answer": [{"value": "y", "item": [{"linkId": "c"}]}]}
+    below = {"resourceType": "Form", "id": "f", "item": [{"linkId": "a", "item": [hidden]}]}
+    answers = Select([Col("below", lambda n: n["item"].first()["linkId"])], for_each_or_null="answer")
+    with pytest.raises(Exception, match="deeper than the declared schema"):
+        run(ndjson([below], schema(2)), Select([Col("l", "linkId")], repeat=["item"], select=[answers])).collect()
+    deep = run(ndjson([below], schema(4)), Select([Col("l", "linkId")], repeat=["item"], select=[answers]))
+    same(deep, [{"id": "f", "l": "a", "below": None}, {"id": "f", "l": "b", "below": "c"}])
     fits = {"resourceType": "Form", "id": "f", "item": [{"linkId": "1", "item": [{"linkId": "1.1"}]}]}
     assert links(ndjson([fits], schema(2)), ["item"]) == ["1", "1.1"]
