@@ -62,11 +62,16 @@ def _unit(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
 
 
+def _tasks(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
-    """Slots (source, slot): how often a source is drawn in each shard, numbered through the shards.
+    """Runs of slots (source, first, n): how often a source is drawn in each shard, numbered through the shards.
 
     The multinomial draw of a shard is stratified: slot i of n draws its number from
-    [i/n, (i+1)/n), which keeps the mean of the counts and makes them come near it.
+    [i/n, (i+1)/n), which keeps the mean of the counts and makes them come near it. Shards are
+    few and small before their slots are drawn, so they are dealt over a fixed number of tasks.
     """
     before = Window.unboundedPreceding
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
@@ -82,7 +87,7 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
     ).where("slots > 0")
     shards = shards.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / shard_slots))).alias("shard")
-    ).repartition(F.col("shard"))
+    ).repartition(_tasks(spark), F.col("shard"))
     n = F.least(F.lit(shard_slots).cast("long"), F.col("slots") - F.col("shard") * shard_slots)
     slots = shards.select("s", "all", "shard", n.alias("n")).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")
@@ -100,10 +105,7 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
         .agg(F.count(F.lit(1)).alias("n"))
     )
     running = F.sum("n").over(Window.partitionBy("source").orderBy("shard").rowsBetween(before, 0))
-    numbered = counts.select("source", "n", (running - F.col("n")).alias("first"))
-    return numbered.select(
-        "source", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")
-    )
+    return counts.select("source", (running - F.col("n")).alias("first"), "n")
 
 
 def mix(
@@ -159,11 +161,15 @@ def mix(
     step = F.get(
         F.array(*[F.lit(s) for s in STEPS]), F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(len(STEPS))).cast("int")
     )
-    slots = draws(docs.sparkSession, target, block_words, shard_slots, seed)
-    known = target.select(F.col("source").alias("s2"), n_blocks.alias("n"))
-    drawn = slots.join(known, F.col("source").eqNullSafe(F.col("s2"))).where(F.col("slot") < MOST * F.col("n"))
-    shift = F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.col("n"))
-    block = F.pmod((F.col("slot") % F.col("n")) * F.pmod(step, F.col("n")) + shift, F.col("n"))
+    # runs meet their source while they are few; their slots are dealt over many tasks
+    spark = docs.sparkSession
+    runs = draws(spark, target, block_words, shard_slots, seed)
+    known = target.select(F.col("source").alias("s2"), n_blocks.alias("blocks"))
+    runs = runs.join(known, F.col("source").eqNullSafe(F.col("s2"))).repartition(_tasks(spark), "source", "first")
+    slot = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")
+    drawn = runs.select("source", "blocks", slot).where(F.col("slot") < MOST * F.col("blocks"))
+    shift = F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.col("blocks"))
+    block = F.pmod((F.col("slot") % F.col("blocks")) * F.pmod(step, F.col("blocks")) + shift, F.col("blocks"))
     times = drawn.groupBy("source", block.alias("block")).agg(F.count(F.lit(1)).alias("times"))
 
     names = {"source": "s2", "block": "b2"}
