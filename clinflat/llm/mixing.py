@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinflat.llm.common import WORD, checkpointed, text_of
+from clinflat.operators.joins import never_broadcast
 
 #: Times that a source, and so a document, may be taken at most.
 MOST = 3
@@ -174,7 +175,7 @@ def mix(
 
     names = {"source": "s2", "block": "b2"}
     joined = blocks.join(
-        times.withColumnsRenamed(names),
+        never_broadcast(times.withColumnsRenamed(names)),
         F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2")),
         "left",
     )
