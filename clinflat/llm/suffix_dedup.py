@@ -36,8 +36,9 @@ ANCHOR = 32
 SAMPLE = 64
 #: Hulls of an anchor in the sample from which its strings are dealt by themselves: a share, and a number at least.
 HOT_SHARE, HOT_LEAST = 0.002, 64
-#: Strings that are sorted at a time.
-SORTED = 1_000_000
+#: Strings that are sorted at a time, and strings of a text that are hashed at a time.
+SORTED = 1 << 18
+SEGMENT = 1 << 16
 BASE = 0x9E3779B97F4A7C15
 #: Kinds of rows before the sort: hulls, strings of hot anchors, runs that are settled.
 HULL, STRING, RUN = 0, 1, 2
@@ -123,13 +124,21 @@ def _bytes(column: pa.Array, k: int) -> np.ndarray:
     return np.frombuffer(column[k].as_buffer(), np.uint8)
 
 
+def segments(content: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Pieces of a text with their places: each string lies whole in one. A hull that two pieces
+    share is cut there; its parts have one anchor, so they are compared string by string."""
+    for place in range(0, len(content) - LENGTH + 1, SEGMENT):
+        yield place, content[place : place + SEGMENT + LENGTH - 1]
+
+
 def _hot_anchors(docs: DataFrame) -> np.ndarray:
     """Anchors with very many hulls, estimated from a sample: at most 1 / HOT_SHARE times the anchors of a text."""
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [hulls(_bytes(batch.column(1), k))[:2] for k in range(batch.num_rows)]
-            anchor, hull = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in zip(*found))
+            texts = (_bytes(batch.column(1), k) for k in range(batch.num_rows))
+            found = [hulls(part)[:2] for text in texts for _, part in segments(text)] or [hulls(np.zeros(0, np.uint8))[:2]]
+            anchor, hull = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(anchor.view("i8")), pa.array(hull.view("i8"))], ["anchor", "hull"])
 
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
@@ -157,15 +166,15 @@ def _dealt(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     part.append(x)
 
             for k in order:
-                content, doc = _bytes(batch.column(1), k), ids[k]
-                anchor, hull, first, n = hulls(content)
-                is_hot = np.isin(anchor, hot) if len(hot) else np.zeros(len(anchor), bool)
-                cold = ~is_hot
-                add(anchor[cold], HULL, hull[cold], doc, first[cold], n[cold])
-                if is_hot.any():
-                    starts = np.unique(np.concatenate([np.arange(a, a + c) for a, c in zip(first[is_hot], abs(n[is_hot]))]))
-                    one, two = (Hashes(content, b).of(starts, starts + LENGTH) for b in (BASE, BASE ^ 0x5A5A))
-                    add(one, STRING, two, doc, starts, np.ones(len(starts), np.int64))
+                for place, content in segments(_bytes(batch.column(1), k)):
+                    anchor, hull, first, n = hulls(content)
+                    is_hot = np.isin(anchor, hot) if len(hot) else np.zeros(len(anchor), bool)
+                    cold = ~is_hot
+                    add(anchor[cold], HULL, hull[cold], ids[k], first[cold] + place, n[cold])
+                    if is_hot.any():
+                        starts = np.unique(np.concatenate([np.arange(a, a + c) for a, c in zip(first[is_hot], abs(n[is_hot]))]))
+                        one, two = (Hashes(content, b).of(starts, starts + LENGTH) for b in (BASE, BASE ^ 0x5A5A))
+                        add(one, STRING, two, ids[k], starts + place, np.ones(len(starts), np.int64))
             key, kind, other, doc, first, n = (np.concatenate(p) for p in parts)
             # rows are in order of documents and places: of equal ones, the first is passed on
             by = np.lexsort((np.arange(len(key)), kind, other, key))
@@ -275,7 +284,7 @@ def _sorted_runs(texts: DataFrame) -> DataFrame:
                 continue
             held.append(batch)
             strings += int(batch.column(3).to_numpy().sum())
-            if strings >= SORTED:
+            if strings >= SORTED and held[0].column(0)[0] != batch.column(0)[-1]:
                 whole = all_held()
                 keys = whole.column(0).to_numpy()
                 last = int(np.searchsorted(keys, keys[-1]))

@@ -132,8 +132,9 @@ def cut(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_suffix_dedup(docs, rows, empty, hot, monkeypatch):
+@pytest.mark.parametrize(("hot", "cut_at"), [(False, 1 << 16), (True, 1 << 16), (False, 150), (True, 150)])
+def test_suffix_dedup(docs, rows, empty, hot, cut_at, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", cut_at)
     if hot:
         monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
         monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 2)
