@@ -66,6 +66,7 @@ def number_text(c: Column) -> Column:
 
 
 def exact_sum(c: Column) -> Column:
-    """Sum of money amounts to four decimals. Summing decimals keeps the result the same
-    however the rows are spread over partitions, which a sum of doubles does not."""
-    return F.sum(c.cast("decimal(18,4)")).cast("double")
+    """Sum of money amounts of up to 18 whole digits and ten decimals. Summing decimals keeps
+    the result the same however the rows are spread over partitions, which a sum of doubles
+    does not."""
+    return F.sum(c.cast("decimal(28,10)")).cast("double")

@@ -11,31 +11,17 @@ from pyspark.sql import types as T
 from clinflat.operators.joins import never_broadcast
 from clinflat.sources.schemas import BUNDLE_SCHEMA, resource_schema
 
-SUFFIXES = (".ndjson", ".ndjson.gz", ".jsonl")
+FILE_PATTERN = "*{.ndjson,.ndjson.gz,.jsonl}"
 
 
-def type_hint(file_name: str) -> str | None:
-    """Resource type in a file name such as ``Patient.001.ndjson``; None when there is none."""
-    stem = file_name
-    for separator in "._-":
-        stem = stem.split(separator)[0]
-    return stem if stem[:1].isupper() and stem.isalpha() else None
+def may_hold(resource_type: str) -> Column:
+    """Whether a file may hold a type: its name starts with the type or does not tell one.
 
-
-def resource_files(spark: SparkSession, folder: str, resource_type: str) -> list[str]:
-    """Resource files of a folder that may hold a type: those named after it and those
-    whose name does not tell. Works on any file system Spark can read."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.getFileStatus(path).isDirectory():
-        return [folder]
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.endswith(SUFFIXES) and type_hint(name) in (resource_type, None):
-            found.append(status.getPath().toString())
-    return sorted(found)
+    The condition reads nothing but the file name, so Spark leaves the other files out of
+    the scan when it plans it, in batches and in streams.
+    """
+    name = F.col("_metadata.file_name")
+    return name.rlike(f"^{resource_type}[._-]") | ~name.rlike(r"^\p{Lu}\p{L}*[._-]")
 
 
 def read_resources(
@@ -46,14 +32,15 @@ def read_resources(
 ) -> DataFrame:
     """Resources of one type from newline-delimited JSON, plain or gzip.
 
-    ``source`` is a folder, a file or a list of files. Blank lines are skipped, broken
+    ``source`` is a folder or file, of which names with a resource suffix that may hold the
+    type are read, or a list of files, which are all read. Blank lines are skipped, broken
     lines and values that do not fit the declared schema are errors.
     """
-    schema = schema or resource_schema(resource_type)
-    files = resource_files(spark, source, resource_type) if isinstance(source, str) else list(source)
-    if not files:
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("mode", "FAILFAST").json(files)
+    reader = spark.read.schema(schema or resource_schema(resource_type)).option("mode", "FAILFAST")
+    if isinstance(source, str):
+        df = reader.option("pathGlobFilter", FILE_PATTERN).json(source).filter(may_hold(resource_type))
+    else:
+        df = reader.json(list(source))
     return df.filter(F.col("resourceType") == resource_type)
 
 

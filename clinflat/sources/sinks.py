@@ -6,6 +6,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,34 +29,25 @@ def view_name(view: FlatView) -> str:
     return view.name or view.resource.lower()
 
 
-def staging_folder(spark: SparkSession) -> str | None:
-    """The shared folder that the cluster names for intermediate results."""
-    return spark.conf.get("spark.checkpoint.dir", None)
-
-
 def flatten_all(
     spark: SparkSession,
     views: Sequence[FlatView],
     source: str,
     parquet_folder: str | None = None,
     database: str | None = None,
-    parse_once: bool = False,
+    parse_once: bool = True,
     staging: str | None = None,
 ) -> DataFrame:
     """Run views over a folder of resource files and write one table per view.
 
-    Results go to ``parquet_folder/<name>``, to tables of ``database``, or both. Each view
-    scans the files of its type and parses only the fields it uses. With ``parse_once``, a
-    type with several views is parsed once into typed Parquet under ``staging`` (the
-    session's ``spark.checkpoint.dir`` unless given), and the views read that: worth it
-    when reading the files is dearer than writing them once. The report has one row per
-    view.
+    Results go to ``parquet_folder/<name>``, to tables of ``database``, or both. A type with
+    several views is parsed once: into typed Parquet under ``staging``, which its owner
+    clears, or, where none is given, onto the disks of the executors until its views are
+    written; what a lost executor held is parsed again. Without ``parse_once`` each view
+    scans the files and parses only the fields it uses. The report has one row per view.
     """
     if parquet_folder is None and database is None:
         raise ValueError("name a parquet folder, a database, or both")
-    staging = staging or staging_folder(spark)
-    if parse_once and staging is None:
-        raise ValueError("parse_once needs a staging folder or spark.checkpoint.dir")
     run = uuid.uuid4().hex
     report = []
     for resource in dict.fromkeys(v.resource for v in views):
@@ -63,12 +55,15 @@ def flatten_all(
         started = time.monotonic()
         records = read_resources(spark, source, resource)
         seen = Observation(f"resources_{resource}")
-        if parse_once and len(own) > 1:
+        shared = parse_once and len(own) > 1
+        if shared and staging is not None:
             staged = f"{staging.rstrip('/')}/clinflat-{run}/{resource}"
             write_parquet(records.observe(seen, F.count(F.lit(1)).alias("n")), staged)
             records = spark.read.parquet(staged)
             observed_records = records
         else:
+            if shared:
+                records = records.persist(StorageLevel.DISK_ONLY)
             observed_records = records.observe(seen, F.count(F.lit(1)).alias("n"))
         written = []
         for i, v in enumerate(own):
@@ -84,6 +79,8 @@ def flatten_all(
             if database is not None:
                 write_table(df, f"{database}.{name}")
             written.append((name, rows))
+        if shared and staging is None:
+            records.unpersist()
         seconds = time.monotonic() - started
         resources = seen.get["n"]
         report += [(resource, name, rows.get["n"], resources, seconds) for name, rows in written]

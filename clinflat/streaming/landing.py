@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clinflat.operators.flatten import FlatView
+from clinflat.sources.resources import FILE_PATTERN, may_hold
 from clinflat.sources.schemas import resource_schema
 
 
@@ -27,9 +28,8 @@ def stream_resources(
     reader = spark.readStream.schema(schema or resource_schema(resource_type)).option("mode", "FAILFAST")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    # File names can only be matched by pattern here; rows of other types are dropped below.
-    named = reader.option("pathGlobFilter", "*{.ndjson,.ndjson.gz,.jsonl}")
-    return named.json(folder).filter(F.col("resourceType") == resource_type)
+    named = reader.option("pathGlobFilter", FILE_PATTERN).json(folder)
+    return named.filter(may_hold(resource_type)).filter(F.col("resourceType") == resource_type)
 
 
 def flatten_stream(

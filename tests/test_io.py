@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clinflat.plans.tables import TABLES
 from clinflat.sources.resources import (
     read_bundles, bundle_resources, explode_bundles, read_code_table, read_resources,
-    read_resources_since, latest_update, resolve_conditional_refs, type_hint,
+    read_resources_since, latest_update, resolve_conditional_refs,
 )
 from clinflat.sources.schemas import DIAGNOSIS_MAP_SCHEMA
 from clinflat.sources.sinks import flatten_all, write_parquet, write_table
@@ -43,9 +43,12 @@ def folder(tmp_path):
     return str(root)
 
 
-def test_type_hint():
-    names = ["Patient.001.ndjson", "Patient_1.ndjson", "Patient-2.ndjson.gz", "patients.ndjson", "P4.ndjson"]
-    assert [type_hint(n) for n in names] == ["Patient", "Patient", "Patient", None, None]
+def test_file_names(spark, tmp_path):
+    names = ["Patient.001.ndjson", "Patient_1.ndjson", "Patient-2.ndjson.gz", "patients.ndjson", "P4.ndjson", "PatientX.ndjson", "Patient.txt"]
+    for name in names:
+        with (gzip.open if name.endswith("gz") else open)(tmp_path / name, "wt") as f:
+            f.write(json.dumps({"resourceType": "Patient", "id": name}))
+    same(read_resources(spark, str(tmp_path), "Patient").select("id"), [{"id": n} for n in names[:5]])
 
 
 def test_read_resources(spark, folder):
@@ -55,8 +58,13 @@ def test_read_resources(spark, folder):
 
 
 def test_only_matching_files_are_read(spark, folder):
-    files = read_resources(spark, folder, "Patient").inputFiles()
-    assert sorted(f.rsplit("/", 1)[1] for f in files) == ["Patient.000.ndjson", "Patient_1.ndjson.gz", "mixed.jsonl"]
+    with open(f"{folder}/Group.ndjson", "w") as f:
+        f.write("a broken line, an error once it is parsed")
+    same(read_resources(spark, folder, "Patient").select("id"), [{"id": f"p{i}"} for i in range(4)])
+    view = TABLES["patient"]
+    query = flatten_stream(view, stream_resources(spark, folder, "Patient"), f"{folder}-out", f"{folder}-state")
+    query.awaitTermination(120)
+    assert query.exception() is None and spark.read.parquet(f"{folder}-out").count() == 4
 
 
 def test_broken_lines_and_wrong_shapes_fail(spark, tmp_path):
@@ -114,10 +122,11 @@ def test_code_table(spark, tmp_path):
 VIEWS = [TABLES["patient"], TABLES["observation"], TABLES["observation_component"], TABLES["medication"]]
 
 
-@pytest.mark.parametrize("staged", [True, False])
-def test_flatten_all(spark, folder, tmp_path, staged):
+@pytest.mark.parametrize(("once", "staging"), [(True, "stage"), (True, None), (False, None)])
+def test_flatten_all(spark, folder, tmp_path, once, staging):
     out = str(tmp_path / "flat")
-    report = flatten_all(spark, VIEWS, folder, parquet_folder=out, parse_once=staged, staging=str(tmp_path / "stage"))
+    staging = staging and str(tmp_path / staging)
+    report = flatten_all(spark, VIEWS, folder, parquet_folder=out, parse_once=once, staging=staging)
     got = {r.name: (r.rows, r.resources) for r in report.collect()}
     assert got == {"patient": (4, 4), "observation": (2, 2), "observation_component": (2, 2), "medication": (0, 0)}
     component = spark.read.parquet(f"{out}/observation_component")
