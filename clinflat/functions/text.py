@@ -65,8 +65,8 @@ def number_text(c: Column) -> Column:
     )
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of money amounts of up to 18 whole digits and ten decimals. Summing decimals keeps
-    the result the same however the rows are spread over partitions, which a sum of doubles
-    does not."""
-    return F.sum(c.cast("decimal(28,10)")).cast("double")
+def exact_sum(c: Column, places: int = 4) -> Column:
+    """Sum of amounts, each rounded to ``places`` decimals; up to 28 digits in all. Summing
+    decimals keeps the result the same however the rows are spread over partitions, which a
+    sum of doubles does not."""
+    return F.sum(c.cast(f"decimal(28,{places})")).cast("double")
