@@ -22,6 +22,9 @@ WEIGHTS = (1, 2, 3)
 STEPS = (2_147_483_647, 2_147_483_629, 2_147_483_587)
 #: Groups of one source's documents whose order is settled by itself.
 PARTS = 4096
+#: For whole copies: groups of documents of about one size, and what a fraction of a copy counts in.
+SIZE_PARTS = 64
+ONE = 1 << 30
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -109,24 +112,16 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
     return counts.select("source", (running - F.col("n")).alias("first"), "n")
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    block_words: int = 64,
-    shard_slots: int = 8192,
-    seed: int = 42,
-) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken.
+def _size(text_col: str) -> Column:
+    return F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
 
-    docs has source; null is a source of its own, the last. Size counts words; a null text has
-    none. No block is taken more than three times, and so no document. Rows that repeat an id
-    each get their own words; a document without words is taken zero times. Where no document
-    has words, all targets are zero. Other columns are ignored.
-    """
-    size = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
+
+def _taken(docs: DataFrame, id_col: str, text_col: str, block_words: int, shard_slots: int, seed: int) -> DataFrame:
+    """Rows (doc_id, source, size, source_size, target, taken), one per document."""
     sizes = checkpointed(
-        docs.select(F.col(id_col).alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
+        docs.select(
+            F.col(id_col).alias("doc_id"), F.col("source").cast("string").alias("source"), _size(text_col).alias("size")
+        )
     )
     target = checkpointed(targets(sizes))
 
@@ -186,18 +181,93 @@ def mix(
     rows = taken.select("doc_id", "source", "size", "taken").unionByName(none)
     return rows.join(
         target.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))
-    ).select("doc_id", "size", "source_size", "target", "taken")
+    ).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents of the mix: each as often as its taken words, rounded to whole documents."""
-    taken = mix(docs, id_col, text_col, **options)
-    often = taken.where("size > 0").select(
-        F.col("doc_id").alias("_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times")
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_words: int = 64,
+    shard_slots: int = 8192,
+    seed: int = 42,
+) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken.
+
+    docs has source; null is a source of its own, the last. Size counts words; a null text has
+    none. No block is taken more than three times, and so no document. Rows that repeat an id
+    each get their own words; a document without words is taken zero times. Where no document
+    has words, all targets are zero. Other columns are ignored.
+    """
+    taken = _taken(docs, id_col, text_col, block_words, shard_slots, seed)
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _copies(taken: DataFrame, seed: int) -> DataFrame:
+    """Rows (doc_id, source, size, times): whole copies, with about the taken words of each source.
+
+    The whole times that a document is taken are copies; what is left is a fraction. Fractions
+    are summed from the longest documents of a source to the shortest, from a start drawn for
+    the source, and a document whose fraction takes the sum over a whole number gets one copy
+    more. So a fraction is the chance of its copy, and a source's words miss the taken ones by
+    a few of its longest documents at most. Sums are whole numbers of 1 / ONE, in groups of
+    about one size, so that they do not depend on the dealing and no source is one task.
+    """
+    # the size's first six bits and their number tell sizes apart to a thirty-second
+    low = F.greatest(F.length(F.bin("size")) - 6, F.lit(0))
+    near = F.floor(F.col("size") / F.pow(F.lit(2), low)).cast("long") + low * 64
+    whole = taken.where("size > 0").select(
+        "doc_id",
+        "source",
+        "size",
+        F.floor(F.col("taken") / F.col("size")).alias("whole"),
+        F.expr(f"((taken % size) * {ONE}) div size").alias("fraction"),
+        (near * SIZE_PARTS + F.pmod(F.xxhash64("doc_id"), F.lit(SIZE_PARTS))).alias("part"),
+    )
+    whole = checkpointed(whole)
+    before = Window.unboundedPreceding
+    of_part = whole.groupBy("source", "part").agg(F.sum("fraction").alias("all"))
+    through = Window.partitionBy("source").orderBy(F.col("part").desc()).rowsBetween(before, 0)
+    offsets = of_part.select(
+        F.col("source").alias("s2"), F.col("part").alias("p2"), (F.sum("all").over(through) - F.col("all")).alias("offset")
+    )
+    inside = Window.partitionBy("source", "part").orderBy(F.col("size").desc(), "doc_id", "whole", "fraction")
+    summed = whole.select("*", F.sum("fraction").over(inside.rowsBetween(before, 0)).alias("upto"))
+    both = summed.join(offsets, F.col("source").eqNullSafe(F.col("s2")) & (F.col("part") == F.col("p2")))
+    start = F.pmod(F.xxhash64(F.lit(seed + 2), "source"), F.lit(ONE))
+    upto = start + F.col("offset") + F.col("upto")
+    more = F.floor(upto / ONE) - F.floor((upto - F.col("fraction")) / ONE)
+    return both.select("doc_id", "source", "size", (F.col("whole") + more).cast("int").alias("times"))
+
+
+def _key(id_col: str, source: Column, size: Column) -> Column:
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), source.isNull(), source, size)
+
+
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_words: int = 64,
+    shard_slots: int = 8192,
+    seed: int = 42,
+) -> DataFrame:
+    """The documents of the mix, in whole copies that keep the words taken of each source.
+
+    Rows that repeat an id each have their own copies; rows that share id, source and size are
+    told apart by their text alone.
+    """
+    copies = _copies(_taken(docs, id_col, text_col, block_words, shard_slots, seed), seed)
+    often = copies.groupBy(_key("doc_id", F.col("source"), F.col("size")).alias("_key")).agg(
+        F.sort_array(F.collect_list("times")).alias("_times")
     )
-    often = often.where("_times > 0").groupBy("_id").agg(F.max("_times").alias("_times"))
+    often = often.where(F.element_at("_times", -1) > 0).withColumnRenamed("_key", "_key2")
+    keyed = docs.withColumn("_key", _key(id_col, F.col("source").cast("string"), _size(text_col)))
+    place = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(text_of(text_col))))
+    joined = keyed.withColumn("_place", place).join(often, F.col("_key") == F.col("_key2"))
+    times = F.element_at("_times", F.col("_place"))
     return (
-        docs.join(often, F.col(id_col).eqNullSafe(F.col("_id")))
-        .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
+        joined.where(times > 0)
+        .select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), times)).alias("_copy"))
         .drop("_copy")
     )

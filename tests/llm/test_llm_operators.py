@@ -253,6 +253,28 @@ def test_mixing(docs, rows, empty):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixed_keeps_targets(spark):
+    # a hot source and long documents: copies of each are few, sources have one ratio each
+    rnd = random.Random(3)
+    rows = []
+    for k in range(1200):
+        source = "hot" if k % 3 == 0 else f"s{k % 7}" if k % 7 else None
+        rows.append((k, " ".join(["w"] * rnd.choice([3, 20, 70, 300, 800])), None, source, 0, "x", 0))
+    rows += [(5000, "a b c", None, "hot", 0, "x", 0)] * 2 + [(None, "a b", None, "hot", 0, "x", 0), (None, "c", None, None, 0, "x", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sizes = spark.createDataFrame([(r[3], len(words(r[1]))) for r in rows], "source string, size long")
+    targets = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    found = mixing.mixed(docs)
+    kept, copies = Counter(), Counter()
+    for r in found.collect():
+        kept[r.source] += len(words(r.text))
+        copies[r.doc_id] += 1
+    assert all(abs(kept[s] - targets[s]) <= 0.02 * targets[s] + 800 for s in targets)
+    assert max(n for k, n in copies.items() if k not in (5000, None)) <= 3
+    again = mixing.mixed(docs.repartition(5))
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, found.collect()))
+
+
 def test_simhash(docs, rows, empty):
     def print_of(text):
         w = words(text)
