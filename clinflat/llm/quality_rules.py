@@ -8,6 +8,8 @@ documents, which are then filtered.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +96,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col("m.n_symbols").alias("n_symbols"),
         F.col("m.lines.dup").cast("long").alias("n_dup_lines"),
         F.col("m.n_repeat_words").alias("n_repeat_words"),
+        F.col("m.lines.n").cast("long").alias("n_lines"),
         thousandths("n_symbols", "word_chars").alias("symbols"),
         thousandths("lines.dup", "lines.n").alias("dup_lines"),
         thousandths("n_repeat_words", "n_words").alias("repeats"),
@@ -105,11 +108,45 @@ TOLERANCE = {"symbols": 50, "dup_lines": 350, "repeats": 200}
 MIN_ROWS = 100
 
 
-def sketches(measured: DataFrame) -> DataFrame:
-    """Histograms (lang, source, rule, value, n): at most 1001 values for each rule and group."""
-    rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in TOLERANCE]))
+#: Measures with a spread of their own, as hundredths of doublings: how long words are, texts, and lines.
+SPREAD = {"word_length": "word_chars / n_words", "length": "n_words", "line_length": "n_words / greatest(n_lines, 1)"}
+
+
+def with_spread(measured: DataFrame) -> DataFrame:
+    """measured with the SPREAD measures, null for a text without words."""
+    return measured.withColumns(
+        {
+            name: F.when(F.col("n_words") > 0, F.round(100 * F.log2(F.expr(mean))).cast("int"))
+            for name, mean in SPREAD.items()
+        }
+    )
+
+
+def sketches(measured: DataFrame, names: Sequence[str] = tuple(TOLERANCE)) -> DataFrame:
+    """Histograms (lang, source, rule, value, n): at most some thousand values for each rule and group."""
+    rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in names]))
     one = measured.select("lang", "source", rules.alias("r")).select("lang", "source", "r.rule", "r.value")
-    return one.groupBy("lang", "source", "rule", "value").agg(F.count(F.lit(1)).alias("n"))
+    return one.where("value IS NOT NULL").groupBy("lang", "source", "rule", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _quartiles(histograms: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, rule, total, q1, q3) of the sketches, merged by the keys."""
+    merged = histograms.groupBy(*keys, "rule", "value").agg(F.sum("n").alias("n"))
+    by_rule = Window.partitionBy(*keys, "rule")
+    placed = merged.select(
+        "*",
+        F.sum("n").over(by_rule.orderBy("value")).alias("upto"),
+        F.sum("n").over(by_rule).alias("total"),
+    )
+    return placed.groupBy(*keys, "rule").agg(
+        F.max("total").alias("total"),
+        F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("value"))).alias("q1"),
+        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("value"))).alias("q3"),
+    )
+
+
+def _tolerance() -> Column:
+    return F.create_map(*[F.lit(x) for pair in TOLERANCE.items() for x in pair])[F.col("rule")]
 
 
 def thresholds(histograms: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
@@ -120,26 +157,13 @@ def thresholds(histograms: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     merged from all sources, and a language of fewer that of the whole corpus.
     """
 
-    def limits(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-        merged = rows.groupBy(*keys, "rule", "value").agg(F.sum("n").alias("n"))
-        by_rule = Window.partitionBy(*keys, "rule")
-        placed = merged.select(
-            "*",
-            F.sum("n").over(by_rule.orderBy("value")).alias("upto"),
-            F.sum("n").over(by_rule).alias("total"),
-        )
-        found = placed.groupBy(*keys, "rule").agg(
-            F.max("total").alias("total"),
-            F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("value"))).alias("q1"),
-            F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("value"))).alias("q3"),
-        )
-        tolerance = F.create_map(*[F.lit(x) for pair in TOLERANCE.items() for x in pair])[F.col("rule")]
-        limit = F.col("q3") + 3 * (F.col("q3") - F.col("q1")) + tolerance
-        return found.select(*keys, "rule", F.when(F.col("total") >= min_rows, limit).alias(name))
+    def limits(keys: list[str], name: str) -> DataFrame:
+        limit = F.col("q3") + 3 * (F.col("q3") - F.col("q1")) + _tolerance()
+        return _quartiles(histograms, keys).select(*keys, "rule", F.when(F.col("total") >= min_rows, limit).alias(name))
 
-    own = limits(histograms, ["lang", "source"], "own")
-    of_lang = limits(histograms, ["lang"], "of_lang")
-    of_all = limits(histograms, [], "of_all")
+    own = limits(["lang", "source"], "own")
+    of_lang = limits(["lang"], "of_lang")
+    of_all = limits([], "of_all")
     everywhere = of_all.select("rule", F.coalesce("of_all", F.lit(1000)).alias("of_all"))
     merged = own.join(of_lang, ["lang", "rule"]).join(everywhere, "rule")
     return merged.groupBy("lang", "source").agg(
@@ -150,6 +174,48 @@ def thresholds(histograms: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     )
 
 
+def fences(histograms: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Per language and source the range (low_R, high_R) of each rule R, null where nothing bounds it.
+
+    A range reaches three times the distance of the quartiles beyond them, for the shares a
+    tolerance more and upwards alone. Shares are of junk: a group's limit is at most that of its
+    language, so that a source full of junk does not raise its own, and the middle one of the
+    limits of the language's sources, so that a large source does not do it either. Lengths
+    differ between good sources, so a group's own range decides. A group without spread, or of
+    fewer than min_rows documents, has the range of its language, a language of fewer that of
+    the corpus.
+    """
+    reach = 3 * (F.col("q3") - F.col("q1")) + F.coalesce(_tolerance(), F.lit(0))
+    share = F.col("rule").isin(*TOLERANCE)
+    fair = F.col("total") >= min_rows
+
+    def ranges(quartiles: DataFrame, keys: list[str], name: str, use: Column) -> DataFrame:
+        return quartiles.select(
+            *keys,
+            "rule",
+            F.when(fair & use & ~share, F.col("q1") - reach).alias(f"low_{name}"),
+            F.when(fair & use, F.col("q3") + reach).alias(f"high_{name}"),
+        )
+
+    groups = _quartiles(histograms, ["lang", "source"])
+    own = ranges(groups, ["lang", "source"], "own", share | (F.col("q3") > F.col("q1")))
+    of_lang = ranges(_quartiles(histograms, ["lang"]), ["lang"], "lang", F.lit(True))
+    # the middle one of the sources' limits on shares
+    middle = own.where(share).groupBy("lang", "rule").agg(F.percentile("high_own", F.lit(0.5)).alias("high_middle"))
+    of_all = ranges(_quartiles(histograms, []), [], "all", F.lit(True))
+    merged = own.join(of_lang, ["lang", "rule"]).join(of_all, "rule").join(middle, ["lang", "rule"], "left")
+    low = F.coalesce("low_own", "low_lang", "low_all")
+    high = F.coalesce(F.when(share, F.least("high_own", "high_lang", "high_middle")), "high_own", "high_lang", "high_all")
+    columns = []
+    for r in (*TOLERANCE, *SPREAD):
+        columns += [F.max(F.when(F.col("rule") == r, x)).alias(f"{n}_{r}") for n, x in (("low", low), ("high", high))]
+    return merged.groupBy("lang", "source").agg(*columns)
+
+
+def _failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its counts, base_failed, kept and the limits that it met.
 
@@ -160,7 +226,7 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     measured = checkpointed(measures(docs, id_col, text_col))
     judged = measured.join(thresholds(sketches(measured)), ["lang", "source"])
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = _failed()
     above = F.lit(False)
     for rule in TOLERANCE:
         above = above | (F.col(rule) > F.col(f"max_{rule}"))
@@ -177,9 +243,26 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of docs whose verdict is kept; rows that repeat an id stay if one of them is kept."""
-    kept = quality_verdicts(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+def typical(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, kept): as quality_verdicts, and kept only within the fences of all rules.
+
+    quality_verdicts has its limits from its SQL; these rules come on top of it.
+    """
+    measured = checkpointed(with_spread(measures(docs, id_col, text_col)))
+    limits = thresholds(sketches(measured)).join(fences(sketches(measured, (*TOLERANCE, *SPREAD))), ["lang", "source"])
+    good = ~_failed()
+    for rule in TOLERANCE:
+        good = good & (F.col(rule) <= F.col(f"max_{rule}"))
+    for rule in (*TOLERANCE, *SPREAD):
+        value = F.col(rule)
+        good = good & F.coalesce(value >= F.col(f"low_{rule}"), F.lit(True)) & F.coalesce(value <= F.col(f"high_{rule}"), F.lit(True))
+    return measured.join(limits, ["lang", "source"]).select("doc_id", good.alias("kept"))
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fenced: bool = False) -> DataFrame:
+    """The documents of docs whose verdict is kept, by `typical` if fenced; rows that repeat an id stay if one of them is kept."""
+    verdicts = (typical if fenced else quality_verdicts)(docs, id_col, text_col)
+    kept = verdicts.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
 
 

@@ -13,8 +13,8 @@ from clinflat.llm.common import shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules.keep_good(docs)
+    """Documents that the quality rules keep, within the fences of their language and source."""
+    return quality_rules.keep_good(docs, fenced=True)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

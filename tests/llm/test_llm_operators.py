@@ -178,6 +178,27 @@ def test_quality_rules(docs, rows, empty):
     assert quality_rules.quality_verdicts(empty).count() == 0
 
 
+def test_pipeline_quality_adapts(spark):
+    # "bad" is the largest source and a third of it junk, so its own quartiles hold junk; "long" has longer words
+    rnd = random.Random(5)
+    rows, junk, odd = [], set(), set()
+    for k in range(1500):
+        source = "bad" if k % 2 else ("fine", "long", "plain")[k // 2 % 3]
+        size = 9 if source == "long" else 4
+        text = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(size - 2, size + 2))) for _ in range(rnd.randint(60, 200))]
+        if source == "bad" and k % 5 < 2:
+            text = [w if j % 3 else "#$%&" for j, w in enumerate(text)]
+            junk.add(k)
+        elif k in (100, 200):
+            text = [w * 8 for w in text]
+            odd.add(k)
+        rows.append((k, " ".join(text), "en", source, 0, "x", 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, "").collect()}
+    assert not kept & (junk | odd)
+    assert len(kept) >= 0.98 * (len(rows) - len(junk | odd))
+
+
 def without_similar(rows):
     lines, gone = [], set()
     for doc_id, text in sorted((r[0], r[1] or "") for r in rows):
