@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Applications that have been sent this library.
@@ -54,6 +54,31 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+#: Bits of a place in a text; the number of the row stands above them. Groups of an id's rows that are numbered alone.
+PLACE_BITS = 32
+ROW_GROUPS = 256
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str, name: str = "row") -> DataFrame:
+    """docs with the number (long) of a row among those of its id, an integer: 0 where it is alone or has none.
+
+    Rows of one id are numbered in an order of their texts' hashes, so that reruns agree; rows of
+    one text follow each other in any order. Only rows of repeated ids are sorted for it.
+    """
+    key = F.col(id_col).cast("long")
+    counts = docs.where(key.isNotNull()).groupBy(key.alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = checkpointed(counts.where("_n > 1").select("_id"))
+    alone = F.lit(0).cast("long").alias(name)
+    if repeated.isEmpty():
+        return docs.select("*", alone)
+    hashed = F.xxhash64(text_of(text_col))
+    group = F.pmod(hashed, F.lit(ROW_GROUPS))
+    order = Window.partitionBy(key, group).orderBy(hashed, text_of(text_col))
+    several = docs.join(repeated, key == F.col("_id"), "left_semi")
+    several = several.select("*", ((F.row_number().over(order) - 1) * ROW_GROUPS + group).cast("long").alias(name))
+    return docs.join(repeated, key == F.col("_id"), "left_anti").select("*", alone).unionByName(several)
+
+
 def in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Get ready for Python tasks: bound the texts that a worker holds, send it this library."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

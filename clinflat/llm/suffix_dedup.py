@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflat.llm.common import in_small_batches, staged, text_of
+from clinflat.llm.common import PLACE_BITS, in_small_batches, numbered, staged, text_of
 
 LENGTH = 100
 ANCHOR = 32
@@ -151,6 +151,7 @@ def _hot_anchors(docs: DataFrame) -> np.ndarray:
 def _dealt(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     """Rows (key, kind, other, doc_id, first, n): hulls by anchor, strings of hot anchors by hash, runs by document.
 
+    From here on, a place has the number of its row among those of the id above its bits.
     Within a batch an equal hull or string seen before is settled at once, so that each batch
     passes on one row for it.
     """
@@ -158,7 +159,8 @@ def _dealt(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            order = np.argsort(ids, kind="stable")
+            above = batch.column(2).to_numpy() << PLACE_BITS
+            order = np.lexsort((above, ids))
             parts = [[np.zeros(0, t)] for t in (np.uint64, np.int8, np.uint64, np.int64, np.int64, np.int64)]
 
             def add(key: np.ndarray, kind: int, other: np.ndarray, doc: int, first: np.ndarray, n: np.ndarray) -> None:
@@ -167,6 +169,7 @@ def _dealt(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
             for k in order:
                 for place, content in segments(_bytes(batch.column(1), k)):
+                    place += above[k]
                     anchor, hull, first, n = hulls(content)
                     is_hot = np.isin(anchor, hot) if len(hot) else np.zeros(len(anchor), bool)
                     cold = ~is_hot
@@ -310,28 +313,37 @@ def _hull_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 want = asked[k].values
                 key, first, n = (want.field(i).to_numpy() for i in range(3))
                 whole = memoryview(texts[k].as_buffer())
-                content += [whole[a : a + c + LENGTH - 1] for a, c in zip(first.tolist(), n.tolist())]
+                places = first & ((1 << PLACE_BITS) - 1)
+                content += [whole[a : a + c + LENGTH - 1] for a, c in zip(places.tolist(), n.tolist())]
                 parts.append((key, np.full(len(key), ids[k].as_py()), first, n))
             columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 4
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(content, pa.binary())], names)
 
     names = ["key", "doc_id", "first", "n", "content"]
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "n")).alias("wanted"))
-    return docs.join(lists, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
+    row = F.shiftright("first", PLACE_BITS).alias("row")
+    lists = wanted.groupBy("doc_id", row).agg(F.collect_list(F.struct("key", "first", "n")).alias("wanted"))
+    return docs.join(lists, ["doc_id", "row"]).select("doc_id", "text", "wanted").mapInArrow(
         rows, "key long, doc_id long, first long, n long, content binary"
     )
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Texts (doc_id, text, null as empty) and their repeated runs (doc_id, first, n) of strings' starts."""
+    """Texts (doc_id, text, row; null as empty) and their repeated runs (doc_id, row, first, n) of strings' starts."""
     spark = docs.sparkSession
     in_small_batches(spark, 2000)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("text"))
+    texts = numbered(
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")), "doc_id", "text"
+    ).withColumn("text", F.col("text").cast("binary"))
     named = texts.where(F.col("doc_id").isNotNull())
     settled = staged(_settled(_dealt(named, _hot_anchors(named))), "repeats")
     runs = settled.where("key IS NULL").select("doc_id", "first", "n")
     more = staged(_sorted_runs(_hull_texts(named, settled.where("key IS NOT NULL"))), "repeats")
-    return texts, runs.unionByName(more)
+    return texts, runs.unionByName(more).select(
+        "doc_id",
+        F.shiftright("first", PLACE_BITS).alias("row"),
+        F.col("first").bitwiseAND((1 << PLACE_BITS) - 1).alias("first"),
+        "n",
+    )
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True) -> DataFrame:
@@ -339,11 +351,12 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A text is its bytes in UTF-8, null as empty. Strings are judged on the input: each byte that
     a string of LENGTH bytes covers goes if an equal string starts earlier, in a document of a
-    smaller id or before it in the same one. Ids are integers and name documents; a row without
-    an id is left as it is and takes no part. Other columns are ignored.
+    smaller id or before it in the same one. Ids are integers; rows that repeat one are documents
+    of their own, in the order of `numbered`: of rows with one id and text, the first keeps its
+    text. A row without an id is left as it is and takes no part. Other columns are ignored.
     """
     texts, runs = repeats(docs, id_col, text_col)
-    lists = runs.groupBy("doc_id").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+    lists = runs.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,6 +379,6 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
-    joined = texts.join(lists, "doc_id", "left").select("doc_id", "text", "runs")
+    joined = texts.join(lists, ["doc_id", "row"], "left").select("doc_id", "text", "runs")
     in_small_batches(docs.sparkSession, 500)
     return joined.mapInArrow(rows, schema)

@@ -147,6 +147,31 @@ def test_suffix_dedup(docs, rows, empty, hot, cut_at, monkeypatch):
     assert suffix_dedup.cut_repeats(empty).count() == 0
 
 
+def repeated_ids(spark):
+    rnd = random.Random(9)
+    one, two = (" ".join(str(rnd.random()) for _ in range(40)) for _ in range(2))
+    texts = [(1, one), (1, one), (2, two), (2, two + "\n" + one), (2, "short"), (3, two), (None, one), (None, one)]
+    return spark.createDataFrame([(k, x, None, None, 0, "x", 0) for k, x in texts], SCHEMA), one, two
+
+
+def test_suffix_dedup_repeated_ids(spark):
+    docs, one, two = repeated_ids(spark)
+    found = [(r.doc_id, bytes(r.kept).decode()) for r in suffix_dedup.cut_repeats(docs).collect()]
+    assert sorted(x for k, x in found if k == 1) == ["", one]
+    # of id 2, either row comes first: two stays once in all
+    assert sum(two in x for k, x in found if k == 2) == 1 and sum(one in x for k, x in found if k == 2) == 0
+    assert (2, "short") in found and (3, "") in found
+    assert [x for k, x in found if k is None] == [one, one]
+
+
+def test_line_dedup_repeated_ids(spark):
+    docs, one, two = repeated_ids(spark)
+    found = [(r.doc_id, r.text) for r in line_dedup.drop_lines(docs).collect()]
+    assert sorted(x for k, x in found if k == 1) == ["", one]
+    assert sorted(x for k, x in found if k == 2) == sorted(["", "short", two])
+    assert (3, "") in found and [x for k, x in found if k is None] == [one, one]
+
+
 def test_lm_scoring(docs, rows, empty):
     out = {r[0]: zlib.crc32(str(r[0]).encode()) % 5 == 1 for r in rows}
     counts = Counter(w for r in rows if not out[r[0]] for w in [*words(r[1]), b""])
