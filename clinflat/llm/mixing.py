@@ -76,10 +76,12 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
     The multinomial draw of a shard is stratified: slot i of n draws its number from
     [i/n, (i+1)/n), which keeps the mean of the counts and makes them come near it. Shards are
     few and small before their slots are drawn, so they are dealt over a fixed number of tasks.
+    A target is as many slots as blocks of the source's mean length, as its last one is shorter.
     """
     before = Window.unboundedPreceding
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    upto = target.where("target > 0").select("source", F.sum("target").over(ordered.rowsBetween(before, 0)).alias("upto"))
+    slots = F.col("target") * F.ceil(F.col("source_size") / block_words) / F.col("source_size")
+    upto = target.where("target > 0").select("source", F.sum(slots).over(ordered.rowsBetween(before, 0)).alias("upto"))
     cumulated = upto.agg(
         F.sort_array(F.collect_list(F.struct("upto", F.col("source").isNull().alias("none"), "source"))).alias("s"),
         F.max("upto").alias("all"),
@@ -87,7 +89,7 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
     shards = cumulated.select(
         "s",
         "all",
-        F.ceil(F.coalesce(F.col("all"), F.lit(0.0)) / block_words).cast("long").alias("slots"),
+        F.ceil(F.coalesce(F.col("all"), F.lit(0.0))).cast("long").alias("slots"),
     ).where("slots > 0")
     shards = shards.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / shard_slots))).alias("shard")

@@ -299,6 +299,14 @@ def test_mixing(docs, rows, empty):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixing_tiny_sources(spark):
+    rows = [(k, "w " * 10, None, f"t{k:02}", 0, "x", 0) for k in range(30)]
+    rows += [(100 + k, "w " * 500, None, "z", 0, "x", 0) for k in range(20)]
+    tiny = [r for r in mixing.mix(spark.createDataFrame(rows, SCHEMA)).collect() if r.doc_id < 100]
+    assert all(r.target == pytest.approx(30) and 10 <= r.taken <= 30 for r in tiny)
+    assert sum(r.taken for r in tiny) >= 0.8 * 30 * len(tiny)
+
+
 def test_mixed_keeps_targets(spark):
     # a hot source and long documents: copies of each are few, sources have one ratio each
     rnd = random.Random(3)
