@@ -82,6 +82,11 @@ def numbered(docs: DataFrame, id_col: str, text_col: str, name: str = "row") ->
 def in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Get ready for Python tasks: bound the texts that a worker holds, send it this library."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    send_library(spark)
+
+
+def send_library(spark: SparkSession) -> None:
+    """Send this library to the Python workers of the application, once."""
     context = spark.sparkContext
     if context.applicationId not in _SENT:
         top = Path(__file__).resolve().parents[1]

@@ -13,6 +13,7 @@ from clinflat.llm import (
     line_dedup,
     lm_scoring,
     mixing,
+    periodic_runs,
     quality_rules,
     simhash,
     suffix_dedup,
@@ -81,6 +82,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    looped = periodic_runs.with_stutter(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_report(periodic_runs.find_runs(looped))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
