@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clinflat.llm import (
     byte_bpe,
     exact_dedup,
+    hard_negatives,
     line_dedup,
     lm_scoring,
     mixing,
@@ -82,6 +83,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     looped = periodic_runs.with_stutter(table(spark, sf_dir, "documents"))
     return periodic_runs.run_report(periodic_runs.find_runs(looped))
@@ -98,10 +105,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_quality_rules": quality_rules.SQL,
     "op10_warc": warc.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
 }
