@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinflat.llm import (
     byte_bpe,
+    chat_format,
     exact_dedup,
     hard_negatives,
     line_dedup,
@@ -89,6 +90,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    awkward = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat_format.chat_report(chat_format.format_chats(turns.unionByName(awkward)))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     looped = periodic_runs.with_stutter(table(spark, sf_dir, "documents"))
     return periodic_runs.run_report(periodic_runs.find_runs(looped))
@@ -106,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_chat_format": op12_chat_format,
     "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {
@@ -113,4 +125,5 @@ SQL: dict[str, str] = {
     "op5_quality_rules": quality_rules.SQL,
     "op10_warc": warc.SQL,
     "op11_hard_negatives": hard_negatives.SQL,
+    "op12_chat_format": chat_format.SQL,
 }
