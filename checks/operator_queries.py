@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -417,8 +417,7 @@ def _level(child: T.DataType) -> T.StructType:
 
 def trees(spark: SparkSession, folder: str) -> DataFrame:
     """brand -> (type -> answer -> size), name; and a second top-level entry."""
-    node = nested_schema(_level, 4)
-    schema = T.StructType().add("item", T.ArrayType(node))
+    schema = T.StructType().add("item", T.ArrayType(nested_schema(_level)))
     tree = F.expr("""to_json(named_struct('item', array(
         named_struct('linkId', p_brand, 'item', array(
             named_struct('linkId', p_type, 'answer', array(named_struct('value', 'x', 'item', array(
@@ -479,6 +478,49 @@ register(
 )
 
 
+def chains(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per part that nests p_size levels deep, by item and by answer.item in turn."""
+    part = source(spark, folder, "part").where("p_size > 0")
+
+    def around(inner: Column, k: Column) -> Column:
+        head = F.concat(F.lit('{"linkId":"'), k, F.lit('"'))
+        own = F.concat(head, F.lit(',"item":['), inner, F.lit("]}"))
+        answer = F.concat(head, F.lit(',"answer":[{"value":"v","item":['), inner, F.lit("]}]}"))
+        return F.when(k % 2 == 0, own).otherwise(answer)
+
+    inner_first = F.sequence(F.col("p_size") - 1, F.lit(1), F.lit(-1))
+    levels = F.when(F.col("p_size") > 1, inner_first).otherwise(F.array().cast("array<int>"))
+    leaf = F.concat(F.lit('{"linkId":"'), F.col("p_size").cast("string"), F.lit('"}'))
+    tree = F.concat(F.lit('{"item":['), F.aggregate(levels, leaf, around), F.lit(',{"linkId":"end"}]}'))
+    schema = T.StructType().add("item", T.ArrayType(nested_schema(_level)))
+    parsed = F.from_json(tree, schema, {"mode": "FAILFAST"})
+    return part.select(F.lit("Tree").alias("resourceType"), key_column("p_partkey").alias("id"), parsed["item"].alias("item"))
+
+
+register(
+    "repeat_any_depth",
+    lambda spark, folder: REPEAT.apply(chains(spark, folder)),
+    """select cast(p_partkey as varchar) as id, unnest(range(p_size + 1)) as i,
+    unnest(list_append(list_transform(range(1, p_size + 1), lambda x: cast(x as varchar)), 'end')) as link
+    from part where p_size > 0""",
+)
+
+
+def _by_expression(spark: SparkSession, folder: str) -> DataFrame:
+    t = chains(spark, folder)
+    steps = [lambda n: n["item"].where(lambda x: x["linkId"] != "end"), "answer.item"]
+    found = descendants(Path(None, t.schema), steps, "breadth")
+    return t.select("id", found["linkId"].join(">").col.alias("links"))
+
+
+register(
+    "repeat_by_expression",
+    _by_expression,
+    """select cast(p_partkey as varchar) as id, array_to_string(range(1, p_size + 1), '>') as links
+    from part where p_size > 0""",
+)
+
+
 # -- bundles, conditional references, incremental reads -------------------------------------------
 
 

@@ -11,7 +11,9 @@ count as items.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import cache
 from typing import Any
 
 from pyspark.sql import Column
@@ -81,6 +83,32 @@ def reference_key(reference: Column, target: str | None = None) -> Column:
     return F.when(urn, urn_rest).when(usable, key)
 
 
+#: Mark of a Variant field whose value is an array of records: the type of these as JSON text.
+RECORDS = "records"
+
+
+def marked_records(level: T.StructType) -> T.StructType:
+    """A level of a self-nesting record whose Variant fields are marked to hold records like it."""
+    return _marked(level, level.json())
+
+
+def _marked(dtype: T.DataType, text: str) -> T.DataType:
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_marked(dtype.elementType, text), dtype.containsNull)
+    if not isinstance(dtype, T.StructType):
+        return dtype
+    fields = []
+    for f in dtype.fields:
+        mark = {**f.metadata, RECORDS: text} if isinstance(f.dataType, T.VariantType) else f.metadata
+        fields.append(T.StructField(f.name, _marked(f.dataType, text), f.nullable, mark))
+    return T.StructType(fields)
+
+
+@cache
+def _records_of(text: str) -> T.StructType:
+    return _marked(T.StructType.fromJson(json.loads(text)), text)
+
+
 class Path:
     """A column and its type; arrays are collections, everything else is a single value.
 
@@ -134,10 +162,17 @@ class Path:
     def __getitem__(self, name: str) -> Path:
         if not self.has(name):
             raise PathError(f"no field {name!r} in {self.item_type.simpleString()}")
-        ftype = self.item_type[name].dataType
+        field = self.item_type[name]
+        ftype = field.dataType
+        inner = F.col(f"`{name}`") if self._col is None else self._col[name]
+        if isinstance(ftype, T.VariantType) and RECORDS in field.metadata:
+            records = T.ArrayType(_records_of(field.metadata[RECORDS]))
+            if not self.many:
+                return Path(inner.cast(records), records, False)
+            each = F.transform(drop_nulls(inner), lambda v: v.cast(records))
+            return Path(F.flatten(drop_nulls(each)), records, False)
         if self._col is None:
-            return Path(F.col(f"`{name}`"), ftype)
-        inner = self._col[name]
+            return Path(inner, ftype)
         if not self.many:
             return Path(inner, ftype, self.plain)
         if isinstance(ftype, T.ArrayType):

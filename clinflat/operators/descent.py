@@ -1,146 +1,92 @@
-"""Recursive descent over records that nest into themselves.
+"""Recursive descent over records that nest into themselves, to any depth.
 
-Spark types cannot be recursive, so a self-nesting schema is declared down to a fixed
-depth. The level after the last declared one is kept as raw text: it is null for data
-that fits. When it is not, below the repeated paths or below any other array that the view
-reads of a descended record, the job ends with an error, so nothing is lost silently.
+Spark types cannot be recursive. So the schema of a self-nesting record declares one level, and
+keeps what lies below as Variant values, which a path reads as records of the same level when it
+steps into them. A descent is one loop inside the row: each round follows the paths from the
+records that the last round found, until there are none. A level is a round and not a part of the
+plan, which has the same size for every depth; nothing shuffles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinflat.functions.collections import Path, PathError
-
-TOO_DEEP = "records nest deeper than the declared schema"
-
-
-def nested_schema(level: Callable[[T.DataType], T.StructType], depth: int) -> T.StructType:
-    """Schema of a self-nesting record. ``level(child)`` builds one level around the type
-    of its children's array; the innermost child is raw text."""
-    node = level(T.StringType())
-    for _ in range(depth - 1):
-        node = level(T.ArrayType(node))
-    return node
-
-
-def _resolve(node: Path, dotted: str) -> Path | None:
-    path = node
-    for step in dotted.split("."):
-        if not path.has(step):
-            return None
-        path = path[step]
-    return path
-
-
-def conform(value: Path, target: T.DataType) -> Column:
-    """Rebuild a record in a deeper type; fields it does not have become null."""
-    if value.dtype == target:
-        return value.col
-    if isinstance(target, T.StructType) and isinstance(value.dtype, T.StructType):
-        fields = [
-            (conform(value[f.name], f.dataType) if value.has(f.name) else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in target.fields
-        ]
-        return F.when(value.col.isNotNull(), F.struct(*fields))
-    if isinstance(target, T.ArrayType) and value.many:
-        return F.transform(
-            value.col, lambda x: conform(Path(x, value.item_type), target.elementType)
-        )
-    if isinstance(value.dtype, T.StringType):
-        # Raw text of the level below the last one.
-        return F.when(value.col.isNotNull(), F.raise_error(F.lit(TOO_DEEP))).otherwise(F.lit(None).cast(target))
-    raise PathError(f"cannot read {value.dtype.simpleString()} as {target.simpleString()}")
-
-
-def _guarded(leaf: Path, target: T.ArrayType) -> Column:
-    text = leaf.first().col
-    return F.when(
-        text.isNotNull(), F.raise_error(F.lit(TOO_DEEP))
-    ).otherwise(F.array().cast(target))
-
-
-def descendants(node: Path, paths: list[str], order: str = "depth") -> Path:
-    """All records reached from ``node`` by following ``paths`` again and again.
+from clinflat.functions.collections import Path, PathError, marked_records
 
-    ``node`` itself is not included. Depth order lists each record before its own
-    descendants and tries the paths in turn at every record; breadth order lists one
-    level after the other.
-    """
-    target = None
-    for p in paths:
-        reached = _resolve(node, p)
-        if reached is not None and isinstance(reached.item_type, T.StructType):
-            target = reached.item_type
-            break
-    if target is None:
-        raise PathError(f"no declared records below {paths}")
-    array_type = T.ArrayType(target)
+#: Where the children of a record are: a dotted path, or a function from the record to them.
+Step = str | Callable[[Path], Path]
 
-    def children(n: Path, guard_type: T.ArrayType = array_type) -> list[Path | Column]:
-        found: list[Path | Column] = []
-        for p in paths:
-            reached = _resolve(n, p)
-            if reached is None:
-                continue
-            if isinstance(reached.item_type, T.StructType):
-                found.append(reached)
-            elif isinstance(reached.item_type, T.StringType):
-                found.append(_guarded(reached, guard_type))
-        return found
 
-    def as_array(p: Path) -> Column:
-        return p.array
+def nested_schema(level: Callable[[T.DataType], T.StructType]) -> T.StructType:
+    """Schema of a self-nesting record. ``level(child)`` builds one level around the type of its
+    children; a field of that type holds an array of records of the same level."""
+    return marked_records(level(T.VariantType()))
 
-    def filled(p: Path, target_type: T.ArrayType) -> Column:
-        return conform(Path(as_array(p), T.ArrayType(p.item_type)), target_type)
 
-    def with_below(kind: T.DataType) -> Callable[[Column], Column]:
-        def body(x: Column) -> Column:
-            item = Path(x, kind)
-            return F.concat(F.array(conform(item, target)), depth_first(item))
+def _children(node: Path, step: Step) -> Path | None:
+    """The records that a step reaches, or None where it is not declared for this node."""
+    try:
+        reached = node.go(step) if isinstance(step, str) else step(node)
+    except PathError:
+        return None
+    if not isinstance(reached.item_type, T.StructType):
+        raise PathError(f"{step} does not reach records")
+    return reached
 
-        return body
 
-    def depth_first(n: Path) -> Column:
-        parts = []
-        for child in children(n):
-            if isinstance(child, Column):
-                parts.append(child)
-                continue
-            kind = child.item_type
-
-            parts.append(F.flatten(F.transform(as_array(child), with_below(kind))))
-        return F.concat(*parts) if parts else F.array().cast(array_type)
+def descendants(node: Path, paths: Sequence[Step], order: str = "depth") -> Path:
+    """All records reached from ``node`` by following ``paths`` again and again.
 
-    if order == "depth":
-        return Path(depth_first(node), array_type)
+    ``node`` itself is not included. Depth order lists each record before its own descendants and
+    tries the paths in turn at every record; breadth order lists one level after the other. A path
+    may be a function of the record, such as ``lambda n: n["item"].where(...)``.
+    """
+    reached = [c for c in (_children(node, p) for p in paths) if c is not None]
+    if not reached:
+        raise PathError(f"no declared records below {paths}")
+    level = reached[0].item_type
+    entry = T.StructType().add("key", T.ArrayType(T.IntegerType())).add("node", level)
 
-    def below(kind: T.DataType, next_type: T.ArrayType) -> Callable[[Column], Column]:
-        def body(x: Column) -> Column:
-            reached = children(Path(x, kind), next_type)
-            return F.concat(*[filled(c, next_type) if isinstance(c, Path) else c for c in reached])
+    def keyed(key: Column, number: int) -> Callable[[Column, Column], Column]:
+        def body(child: Column, i: Column) -> Column:
+            return F.struct(F.concat(key, F.array(F.lit(number), i)).alias("key"), child.alias("node"))
 
         return body
 
-    levels: list[Column] = [c for c in children(node) if isinstance(c, Column)]
-    current = [c for c in children(node) if isinstance(c, Path)]
-    level = F.concat(*[filled(c, array_type) for c in current]) if current else None
-    kind: T.DataType = target
-    while level is not None:
-        levels.append(conform(Path(level, T.ArrayType(kind)), array_type))
-        reached = children(Path(F.lit(None).cast(kind), kind))
-        deeper = [c.item_type for c in reached if isinstance(c, Path)]
-        if deeper:
-            level = F.flatten(F.transform(level, below(kind, T.ArrayType(deeper[0]))))
-            kind = deeper[0]
-        else:
-            if reached:
-                levels.append(F.flatten(F.transform(level, below(kind, array_type))))
-            level = None
-    return Path(F.concat(*levels) if levels else F.array().cast(array_type), array_type)
+    def found_from(parent: Path, key: Column) -> Column:
+        """Children of a record, each with its key: path and position at every level down to it."""
+        parts = []
+        for number, step in enumerate(paths):
+            children = _children(parent, step)
+            if children is None:
+                continue
+            if children.item_type != level:
+                raise PathError(f"{step} reaches records of another kind than {paths[0]}")
+            parts.append(F.transform(children.array, keyed(key, number)))
+        return F.concat(*parts) if parts else F.array().cast(T.ArrayType(entry))
+
+    def round_of(state: Column, _: Column) -> Column:
+        below = F.transform(state["last"], lambda x: found_from(Path(x["node"], level), x["key"]))
+        step = F.struct(F.flatten(below).alias("last"), F.concat(state["all"], state["last"]).alias("all"))
+        return F.when(F.size(state["last"]) > 0, step).otherwise(state)
+
+    first = found_from(node, F.array().cast("array<int>"))
+    # a record is one pair of braces at least, so no descent has more levels than those
+    text = F.to_json(F.transform(first, lambda x: x["node"]))
+    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    start = F.struct(first.alias("last"), F.array().cast(T.ArrayType(entry)).alias("all"))
+
+    def listed(state: Column) -> Column:
+        records = state["all"]
+        if order == "depth":
+            records = F.array_sort(
+                records, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+            )
+        return F.transform(records, lambda x: x["node"])
+
+    rounds = F.sequence(F.lit(0), F.coalesce(braces, F.lit(0)))
+    return Path(F.aggregate(rounds, start, round_of, listed), T.ArrayType(level), False, True)

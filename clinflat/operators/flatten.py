@@ -126,7 +126,7 @@ class Select:
     union_all: Sequence[Select] = ()
     for_each: str | PathFunction | None = None
     for_each_or_null: str | PathFunction | None = None
-    repeat: Sequence[str] = ()
+    repeat: Sequence[str | PathFunction] = ()
     shared: dict[str, Callable[[Node], Column]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:

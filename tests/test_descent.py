@@ -1,5 +1,7 @@
 """Recursive descent."""
 
+import time
+
 import pytest
 from conftest import same
 from pyspark.sql import types as T
@@ -14,9 +16,12 @@ def level(child):
     return T.StructType().add("linkId", "string").add("answer", T.ArrayType(answer)).add("item", child)
 
 
-def schema(depth):
-    node = T.ArrayType(nested_schema(level, depth))
-    return T.StructType().add("resourceType", "string").add("id", "string").add("item", node)
+SCHEMA = (
+    T.StructType()
+    .add("resourceType", "string")
+    .add("id", "string")
+    .add("item", T.ArrayType(nested_schema(level)))
+)
 
 
 FORM = {
@@ -37,7 +42,7 @@ FORM = {
 
 @pytest.fixture
 def form(ndjson):
-    return ndjson([FORM, {"resourceType": "Form", "id": "empty"}], schema(4))
+    return ndjson([FORM, {"resourceType": "Form", "id": "empty"}], SCHEMA)
 
 
 def run(form, *selects):
@@ -108,16 +113,61 @@ def test_breadth_first(form):
     assert got == ["1", "2", "1.1", "1.2", "1.1.1", "1.2.1"]
 
 
-def test_deeper_than_declared_is_an_error(ndjson):
-    shallow = ndjson([FORM], schema(2))
-    with pytest.raises(Exception, match="deeper than the declared schema"):
-        run(shallow, Select([Col("l", "linkId")], repeat=["item"])).collect()
-    hidden = {"linkId": "b", "answer": [{"value": "y", "item": [{"linkId": "c"}]}]}
+def chain(depth):
+    """One record per level, by item and by answer.item in turn, numbered from the top."""
+    node = {"linkId": str(depth)}
+    for k in range(depth - 1, 0, -1):
+        node = {"linkId": str(k), **({"item": [node]} if k % 2 else {"answer": [{"value": "v", "item": [node]}]})}
+    return node
+
+
+def test_any_depth(ndjson):
+    depths = {"a": 1, "b": 3, "c": 40, "d": 230}
+    records = [{"resourceType": "Form", "id": i, "item": [chain(d), {"linkId": "end"}]} for i, d in depths.items()]
+    got = run(ndjson(records, SCHEMA), Select([Col("i", lambda n: n.row_index, "integer"), Col("l", "linkId")], repeat=["item", "answer.item"]))
+    found = {i: [] for i in depths}
+    for r in sorted(got.collect(), key=lambda r: r.i):
+        found[r.id].append(r.l)
+    assert found == {i: [*map(str, range(1, d + 1)), "end"] for i, d in depths.items()}
+
+
+def test_plan_does_not_grow_with_depth(ndjson):
+    def plan(depth):
+        form = ndjson([{"resourceType": "Form", "id": "f", "item": [chain(depth)]}], SCHEMA)
+        view = Select([Col("l", "linkId")], repeat=["item", "answer.item"])
+        started = time.monotonic()
+        text = run(form, view)._jdf.queryExecution().optimizedPlan().toString()
+        return len(text.splitlines()), time.monotonic() - started
+
+    (lines, _), (more, seconds) = plan(2), plan(60)
+    assert lines == more and seconds < 3
+
+
+def test_reading_below_a_found_record(ndjson):
+    hidden = {"linkId": "b", "answer": [{"value": "y", "item": [{"linkId": "c", "item": [{"linkId": "d"}]}]}]}
     below = {"resourceType": "Form", "id": "f", "item": [{"linkId": "a", "item": [hidden]}]}
-    answers = Select([Col("below", lambda n: n["item"].first()["linkId"])], for_each_or_null="answer")
-    with pytest.raises(Exception, match="deeper than the declared schema"):
-        run(ndjson([below], schema(2)), Select([Col("l", "linkId")], repeat=["item"], select=[answers])).collect()
-    deep = run(ndjson([below], schema(4)), Select([Col("l", "linkId")], repeat=["item"], select=[answers]))
-    same(deep, [{"id": "f", "l": "a", "below": None}, {"id": "f", "l": "b", "below": "c"}])
-    fits = {"resourceType": "Form", "id": "f", "item": [{"linkId": "1", "item": [{"linkId": "1.1"}]}]}
-    assert links(ndjson([fits], schema(2)), ["item"]) == ["1", "1.1"]
+    answers = Select([Col("below", lambda n: n["item"].first()["item"]["linkId"].first())], for_each_or_null="answer")
+    deep = run(ndjson([below], SCHEMA), Select([Col("l", "linkId")], repeat=["item"], select=[answers]))
+    same(deep, [{"id": "f", "l": "a", "below": None}, {"id": "f", "l": "b", "below": "d"}])
+
+
+def test_function_steps(form):
+    steps = [lambda n: n["item"].where(lambda x: x["linkId"] != "1.2"), "answer.item"]
+    found = descendants(Path(None, form.schema), steps)["linkId"]
+    assert form.filter("id = 'f'").select(found.col.alias("l")).first().l == ["1", "1.1", "1.1.1", "2"]
+    assert links(form, [lambda n: n["item"].skip(1)]) == ["2"]
+    with pytest.raises(ViewError, match="does not reach records"):
+        run(form, Select([Col("l", "linkId")], repeat=[lambda n: n["id"]]))
+
+
+def test_odd_shapes(ndjson):
+    records = [
+        {"resourceType": "Form", "id": "nulls", "item": [{"linkId": "a", "item": None}, {"linkId": "b", "item": []}]},
+        {"resourceType": "Form", "id": "braces", "item": [{"linkId": "}{{", "item": [{"linkId": "{"}]}]},
+        {"resourceType": "Form", "id": "none", "item": []},
+    ]
+    got = run(ndjson(records, SCHEMA), Select([Col("l", "linkId")], repeat=["item"]))
+    same(got, [{"id": "nulls", "l": x} for x in "ab"] + [{"id": "braces", "l": x} for x in ("}{{", "{")])
+    wrong = ndjson([{"resourceType": "Form", "id": "w", "item": [{"linkId": "a", "item": {"linkId": "b"}}]}], SCHEMA)
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        run(wrong, Select([Col("l", "linkId")], repeat=["item"])).collect()
