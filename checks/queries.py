@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -12,7 +13,9 @@ from checks.model_sql import STAMP, money_sum, sql_with
 from checks.records import FLAT_SQL, measures, records, terminology
 from clinflat.plans import claims, clinical, code_maps, reports
 from clinflat.plans.common import RunInfo
+from clinflat.plans.job import InputLayer
 from clinflat.plans.tables import TABLES
+from clinflat.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -297,3 +300,61 @@ model(
     (select count(*) from medical) as medical_claim_lines, (select count(*) from pharmacy) as pharmacy_claim_lines,
     (select round({PAID}, 2) from medical) as paid_amount""",
 )
+
+
+# -- the map step as one job ---------------------------------------------------------------
+
+
+def input_layer(spark: SparkSession, folder: str, **options) -> InputLayer:
+    """The job over the records of a folder, with a database and a folder of its own."""
+    run, models = uuid.uuid4().hex, Models(spark, folder)
+    spark.sql(f"create database job_{run} location '{shared_folder(spark)}/job-{run}'")
+    maps = (terminology(spark, folder, "diagnosis_map"), terminology(spark, folder, "drug_packages"))
+    return InputLayer(spark, models.flat, *maps, f"job_{run}", RUN, **options)
+
+
+def _job_report(spark: SparkSession, folder: str) -> DataFrame:
+    report = input_layer(spark, folder).build()
+    return report.where("name not like 'stage%'").select("name", "rows")
+
+
+def _job_table(name: str, **options) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        job = input_layer(spark, folder, **options)
+        job.stage()
+        return job.models()[name]()
+
+    return query
+
+
+JOB_BODIES = {
+    "patient": "select * from patient_table",
+    "encounter": "select * from encounter_table",
+    "condition": "select * from condition_table",
+    "procedure": model_sql.PROCEDURE_TABLE,
+    "observation": model_sql.OBSERVATION_TABLE,
+    "lab_result": model_sql.LAB_TABLE,
+    "medication": model_sql.MEDICATION_TABLE,
+    "immunization": model_sql.IMMUNIZATION_TABLE,
+    "location": model_sql.LOCATION_TABLE,
+    "practitioner": model_sql.PRACTITIONER_TABLE,
+    "eligibility": model_sql.ELIGIBILITY,
+    "medical_claim": "select * from medical",
+    "pharmacy_claim": "select * from pharmacy",
+}
+JOB_USES = (
+    "patient_table encounter_table condition_table procedure observation diagnostic_report_result package_map "
+    "immunization location organization practitioner practitioner_role spans medical pharmacy"
+)
+_counts = [f"select '{n}' as name, (select count(*) from ({b})) as rows" for n, b in JOB_BODIES.items()]
+register(
+    "map_job",
+    _job_report,
+    sql_with(JOB_USES, " union all ".join([*_counts, "select 'appointment', 0"])),
+)
+register("map_job_medical_claim", _job_table("medical_claim"), sql_with("medical", "select * from medical"))
+register(
+    "map_job_pharmacy_claim",
+    _job_table("pharmacy_claim", long_claim=4),
+    sql_with("pharmacy", "select * from pharmacy"),
+)

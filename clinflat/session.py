@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # All of these can be changed on a running session, so ``prepare`` works on a session
@@ -29,3 +31,15 @@ def get_session(app_name: str = "clinflat", **settings: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return prepare(builder.getOrCreate())
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share. Where that is unset, a folder
+    is made, on a local master only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="clinflat-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
