@@ -43,3 +43,9 @@ def shared_folder(spark: SparkSession) -> str:
         folder = "file://" + tempfile.mkdtemp(prefix="clinflat-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has made, on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -14,6 +14,15 @@ from clinflat.sources.schemas import BUNDLE_SCHEMA, resource_schema
 FILE_PATTERN = "*{.ndjson,.ndjson.gz,.jsonl}"
 
 
+#: A file name that starts with a type, as in Patient.001.ndjson.
+TYPED_NAME = r"^(\p{Lu}\p{L}*)[._-]"
+
+
+def file_type(name: Column) -> Column:
+    """The type that a file name starts with, null where it tells none."""
+    return F.nullif(F.regexp_extract(name, TYPED_NAME, 1), F.lit(""))
+
+
 def may_hold(resource_type: str) -> Column:
     """Whether a file may hold a type: its name starts with the type or does not tell one.
 
@@ -21,7 +30,17 @@ def may_hold(resource_type: str) -> Column:
     the scan when it plans it, in batches and in streams.
     """
     name = F.col("_metadata.file_name")
-    return name.rlike(f"^{resource_type}[._-]") | ~name.rlike(r"^\p{Lu}\p{L}*[._-]")
+    return name.rlike(f"^{resource_type}[._-]") | ~name.rlike(TYPED_NAME)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a path names one existing file, on whatever file system it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    if any(c in path for c in "*?[{"):
+        return False
+    place = hadoop.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(place) and not system.getFileStatus(place).isDirectory()
 
 
 def read_resources(
@@ -29,18 +48,22 @@ def read_resources(
     source: str | Sequence[str],
     resource_type: str,
     schema: T.StructType | str | None = None,
+    typed_only: bool = False,
 ) -> DataFrame:
     """Resources of one type from newline-delimited JSON, plain or gzip.
 
-    ``source`` is a folder or file, of which names with a resource suffix that may hold the
-    type are read, or a list of files, which are all read. Blank lines are skipped, broken
+    ``source`` is a folder, of which names with a resource suffix that may hold the type are
+    read, or a file or a list of files, which are read whatever their names. ``typed_only``
+    leaves out files of a folder whose names tell no type. Blank lines are skipped, broken
     lines and values that do not fit the declared schema are errors.
     """
     reader = spark.read.schema(schema or resource_schema(resource_type)).option("mode", "FAILFAST")
-    if isinstance(source, str):
-        df = reader.option("pathGlobFilter", FILE_PATTERN).json(source).filter(may_hold(resource_type))
+    if isinstance(source, str) and not is_file(spark, source):
+        named = F.col("_metadata.file_name").rlike(f"^{resource_type}[._-]")
+        wanted = named if typed_only else may_hold(resource_type)
+        df = reader.option("pathGlobFilter", FILE_PATTERN).json(source).filter(wanted)
     else:
-        df = reader.json(list(source))
+        df = reader.json(source if isinstance(source, str) else list(source))
     return df.filter(F.col("resourceType") == resource_type)
 
 

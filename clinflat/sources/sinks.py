@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clinflat.operators.flatten import FlatView
+from clinflat.session import remove_folder, shared_folder
 from clinflat.sources.resources import read_resources
+from clinflat.sources.router import has_untyped_files, read_routed, route_resources
 
 REPORT_SCHEMA = "resource string, name string, rows bigint, resources bigint, seconds double"
 
@@ -44,16 +46,24 @@ def flatten_all(
     several views is parsed once: into typed Parquet under ``staging``, which its owner
     clears, or, where none is given, onto the disks of the executors until its views are
     written; what a lost executor held is parsed again. Without ``parse_once`` each view
-    scans the files and parses only the fields it uses. The report has one row per view.
+    scans the files and parses only the fields it uses. Files of a folder whose names tell no
+    type are read once for all types: their lines are sorted by type below ``staging`` or, for
+    the time of the run, in the folder that all executors share. The report has one row per view.
     """
     if parquet_folder is None and database is None:
         raise ValueError("name a parquet folder, a database, or both")
     run = uuid.uuid4().hex
     report = []
+    layout = f"{(staging or shared_folder(spark)).rstrip('/')}/clinflat-{run}/by_type"
+    routed = has_untyped_files(spark, source)
+    if routed:
+        route_resources(spark, source, layout)
     for resource in dict.fromkeys(v.resource for v in views):
         own = [v for v in views if v.resource == resource]
         started = time.monotonic()
-        records = read_resources(spark, source, resource)
+        records = read_resources(spark, source, resource, typed_only=routed)
+        if routed:
+            records = records.unionByName(read_routed(spark, layout, resource))
         seen = Observation(f"resources_{resource}")
         shared = parse_once and len(own) > 1
         if shared and staging is not None:
@@ -84,4 +94,6 @@ def flatten_all(
         seconds = time.monotonic() - started
         resources = seen.get["n"]
         report += [(resource, name, rows.get["n"], resources, seconds) for name, rows in written]
+    if routed and staging is None:
+        remove_folder(spark, layout)
     return spark.createDataFrame(report, REPORT_SCHEMA)

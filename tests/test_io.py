@@ -7,6 +7,7 @@ import pytest
 from conftest import rows, same
 from pyspark.sql import functions as F
 
+from clinflat import Col, FlatView, Select
 from clinflat.plans.tables import TABLES
 from clinflat.sources.resources import (
     read_bundles, bundle_resources, explode_bundles, read_code_table, read_resources,
@@ -14,7 +15,8 @@ from clinflat.sources.resources import (
 )
 from clinflat.sources.schemas import DIAGNOSIS_MAP_SCHEMA
 from clinflat.sources.sinks import flatten_all, write_parquet, write_table
-from clinflat.streaming.landing import flatten_stream, stream_resources
+from clinflat.sources import router
+from clinflat.streaming.landing import StreamReport, flatten_folder, flatten_stream, stream_resources
 
 PEOPLE = [
     {"resourceType": "Patient", "id": f"p{i}", "meta": {"lastUpdated": f"2024-01-0{i + 1}T00:00:00Z"}, "name": [{"use": "official", "family": f"F{i}"}]}
@@ -57,6 +59,53 @@ def test_read_resources(spark, folder):
     assert read_resources(spark, folder + "/Group.ndjson", "Group", "resourceType string, id string").count() == 1
 
 
+def test_named_files_are_read_whatever_their_names(spark, tmp_path):
+    (tmp_path / "export.json").write_text(lines(PEOPLE))
+    (tmp_path / "Group.txt").write_text(lines(PEOPLE[:1]))
+    assert read_resources(spark, str(tmp_path / "export.json"), "Patient").count() == 4
+    assert read_resources(spark, str(tmp_path / "Group.txt"), "Patient").count() == 1
+    assert read_resources(spark, [str(tmp_path / "export.json"), str(tmp_path / "Group.txt")], "Patient").count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_resources(spark, str(tmp_path / "absent.json"), "Patient")
+
+
+def test_untyped_files_are_routed_once(spark, folder, tmp_path):
+    with open(f"{folder}/mixed.jsonl", "a") as f:
+        f.write('\n \t \n{"id": "no type"}\n')
+    assert router.has_untyped_files(spark, folder) and not router.has_untyped_files(spark, f"{folder}/mixed.jsonl")
+    layout = str(tmp_path / "layout")
+    router.route_resources(spark, folder, layout)
+    people = router.read_routed(spark, layout, "Patient")
+    same(people.select("id"), [{"id": "p3"}])
+    same(router.read_routed(spark, layout, "Observation").select("id"), [{"id": "o1"}, {"id": "o2"}])
+    assert router.read_routed(spark, layout, "Group", "resourceType string, id string").count() == 0
+    plan = people._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(type" in plan and "(type" in plan
+    assert [f.rsplit("/", 2)[1] for f in router.read_routed(spark, layout, "Patient").inputFiles()] != []
+    typed = read_resources(spark, folder, "Patient", typed_only=True)
+    same(typed.select("id"), [{"id": f"p{i}"} for i in range(3)])
+
+
+def test_mixed_folder_is_scanned_once_by_the_job(spark, folder, tmp_path, monkeypatch):
+    """Once the lines are routed, the job does not touch the mixed file again."""
+    from clinflat.sources import sinks
+
+    def route(spark, source, layout):
+        router.route_resources(spark, source, layout)
+        (tmp_path / "export" / "mixed.jsonl").unlink()
+
+    monkeypatch.setattr(sinks, "route_resources", route)
+    report = flatten_all(spark, VIEWS, folder, parquet_folder=str(tmp_path / "flat"))
+    got = {r.name: (r.rows, r.resources) for r in report.collect()}
+    assert got == {"patient": (4, 4), "observation": (2, 2), "observation_component": (2, 2), "medication": (0, 0)}
+
+
+def test_a_broken_line_of_an_untyped_file_is_an_error(spark, tmp_path):
+    (tmp_path / "mixed.ndjson").write_text('{"resourceType": "Patient"')
+    with pytest.raises(Exception, match="not a JSON record"):
+        router.route_resources(spark, str(tmp_path), str(tmp_path / "layout"))
+
+
 def test_only_matching_files_are_read(spark, folder):
     with open(f"{folder}/Group.ndjson", "w") as f:
         f.write("a broken line, an error once it is parsed")
@@ -170,3 +219,47 @@ def test_stream_gives_the_batch_rows_and_reads_files_once(spark, tmp_path):
     assert got.select("observation_id").distinct().count() == 2
     assert view.apply(stream_resources(spark, str(landing), "Observation")).isStreaming
     assert got.filter(F.col("component_index").isNull()).count() == 0
+
+
+def test_one_stream_for_many_views(spark, tmp_path):
+    """Five views of two types: each file is read once, counts add up, a batch that is run again replaces itself."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    again = FlatView("patient_again", "Patient", TABLES["patient"].select)
+    names = FlatView("patient_name", "Patient", [Select([Col("id", "id")]), Select([Col("family", "family")], for_each="name")])
+    views = [TABLES["patient"], again, names, TABLES["observation"], TABLES["observation_component"]]
+    report = StreamReport()
+
+    def advance(**options):
+        query = flatten_folder(spark, views, str(landing), out, state, report=report, **options)
+        query.awaitTermination(180)
+        assert query.exception() is None
+
+    def found(name):
+        return spark.read.parquet(f"{out}/{name}")
+
+    (landing / "mixed.ndjson").write_text(lines([*PEOPLE, *OBSERVATIONS, {"resourceType": "Group", "id": "g"}]) + "\n\n")
+    (landing / "Observation.1.ndjson").write_text(lines(OBSERVATIONS[:1]).replace("o1", "o3"))
+    (landing / "Group.ndjson").write_text("a broken line of a type that nobody wants")
+    advance()
+    (landing / "Patient.2.ndjson").write_text(lines(PEOPLE[:2]).replace('"p', '"q'))
+    advance(files_per_batch=1)
+    assert {n: found(n).count() for n in ("patient", "patient_again", "patient_name")} == dict.fromkeys(("patient", "patient_again", "patient_name"), 6)
+    assert rows(found("observation_component").drop("batch")) == rows(
+        TABLES["observation_component"].apply(read_resources(spark, str(landing), "Observation"))
+    )
+    counted = {}
+    for r in report.frame(spark).collect():
+        counted[r.name] = tuple(a + b for a, b in zip(counted.get(r.name, (0, 0)), (r.rows, r.resources)))
+    assert counted == {"patient": (6, 6), "patient_again": (6, 6), "patient_name": (6, 6), "observation": (3, 3), "observation_component": (4, 3)}
+    # the last batch is forgotten, as if the driver had died before it was committed, and run again
+    last = max(int(p.name) for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit())
+    for p in (tmp_path / "state" / "commits").iterdir():
+        if p.name in (str(last), f".{last}.crc"):
+            p.unlink()
+    advance()
+    assert found("patient").count() == 6 and found("observation").count() == 3
+    assert len(report.counts) == last + 1
+    with pytest.raises(ValueError, match="different names"):
+        flatten_folder(spark, [again, again], str(landing), out, state)
