@@ -17,7 +17,9 @@ from clinflat.sources.resources import (
     changed_since,
     explode_bundles,
     latest_update,
+    reference_index,
     resolve_conditional_refs,
+    resolve_references,
 )
 
 # -- views over orders with a few nested parts ---------------------------------------------
@@ -571,6 +573,35 @@ register(
 )
 
 
+def _three_types(spark: SparkSession, folder: str) -> DataFrame:
+    """References to a practitioner, an organization or a patient by identifier, one without a match, and plain ones."""
+    kinds = {
+        "Practitioner": (records(spark, folder, "practitioner"), f"{codes.NPI}|N", 120),
+        "Organization": (records(spark, folder, "organization"), f"{codes.SOURCE_SYSTEM}|", 30),
+        "Patient": (records(spark, folder, "patient"), f"{codes.SOURCE_SYSTEM}|src-", 5000),
+    }
+    forms = " ".join(
+        f"when {i} then concat('{t}?identifier={start}', cast(o_orderkey % {n} as string))"
+        for i, (t, (_, start, n)) in enumerate(kinds.items())
+    )
+    rows = source(spark, folder, "orders").select("o_orderkey", F.expr(f"case o_orderkey % 5 {forms} when 3 then 'Patient/7' end").alias("r"))
+    return resolve_references(rows, "r", reference_index({t: target for t, (target, _, _) in kinds.items()}))
+
+
+register(
+    "conditional_references_of_three_types",
+    _three_types,
+    f"""select o_orderkey, case o_orderkey % 5
+        when 0 then coalesce((select 'Practitioner/' || min(id) from ({FLAT_SQL["practitioner"]}) where npi = 'N' || (o_orderkey % 120)),
+            'Practitioner?identifier={codes.NPI}|N' || (o_orderkey % 120))
+        when 1 then coalesce((select 'Organization/' || min(id) from ({FLAT_SQL["organization"]})
+            where source_identifier = cast(o_orderkey % 30 as varchar)), 'Organization?identifier={codes.SOURCE_SYSTEM}|' || (o_orderkey % 30))
+        when 2 then coalesce((select 'Patient/' || min(id) from ({FLAT_SQL["patient"]}) where source_identifier = 'src-' || (o_orderkey % 5000)),
+            'Patient?identifier={codes.SOURCE_SYSTEM}|src-' || (o_orderkey % 5000))
+        when 3 then 'Patient/7' end as r from orders""",
+)
+
+
 def updates(spark: SparkSession, folder: str) -> DataFrame:
     return source(spark, folder, "events").select(
         "event_id", F.struct(F.expr(f"case when event_id % 10 <> 0 then {TS} end").alias("lastUpdated")).alias("meta")

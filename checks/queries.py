@@ -142,7 +142,7 @@ class Models:
         return reports.member_months(self.spans())
 
     def pmpm(self) -> DataFrame:
-        return reports.cost_per_member_month(self.months(), self.medical(), "1995", "2001")
+        return reports.cost_of_member_years(reports.member_years(self.spans()), self.medical(), "1995", "2001")
 
     def patient_set(self) -> DataFrame:
         return reports.patients_dataset(self.patients(), date(2001, 12, 31))
@@ -212,6 +212,12 @@ model(
 )
 model("member_months", Models.months, "months", "select * from months")
 model("pmpm_by_year", Models.pmpm, "pmpm", "select * from pmpm")
+model(
+    "pmpm_of_months",
+    lambda m: reports.cost_per_member_month(m.months(), m.medical(), "1995", "2001"),
+    "pmpm",
+    "select * from pmpm",
+)
 model(
     "patient_count",
     lambda m: reports.patient_count(m.patient_set()),

@@ -83,17 +83,30 @@ def quality_measures_dataset(measures: DataFrame) -> DataFrame:
     )
 
 
+def member_years(spans: DataFrame) -> DataFrame:
+    """Per person and calendar year with any enrolment: year, and its enrolled months as twelve bits.
+
+    A span gives one row per year that it touches, with a bit per month, and the bits of a
+    person's spans are combined before they are shuffled: overlaps need no row per month.
+    """
+    years = F.sequence(F.year("enrollment_start_date"), F.year("enrollment_end_date"))
+    spans = spans.filter(F.col("enrollment_start_date") <= F.col("enrollment_end_date"))
+    by_year = spans.select("person_id", "enrollment_start_date", "enrollment_end_date", F.explode(years).alias("year"))
+    first = F.when(F.year("enrollment_start_date") == F.col("year"), F.month("enrollment_start_date")).otherwise(1)
+    last = F.when(F.year("enrollment_end_date") == F.col("year"), F.month("enrollment_end_date")).otherwise(12)
+    # bits first - 1 to last - 1
+    bits = F.expr("shiftleft(1, __last) - shiftleft(1, __first - 1)")
+    bounded = by_year.select("person_id", "year", first.alias("__first"), last.alias("__last"))
+    return bounded.groupBy("person_id", "year").agg(F.bit_or(bits).alias("months"))
+
+
 def member_months(spans: DataFrame) -> DataFrame:
-    """One row per person and calendar month with any enrolment. A span lies within one
-    calendar year, so it has at most twelve months."""
-    months = F.sequence(
-        F.trunc("enrollment_start_date", "MM"),
-        F.trunc("enrollment_end_date", "MM"),
-        F.expr("interval 1 month"),
+    """One row per person and calendar month with any enrolment."""
+    numbers = F.expr("filter(sequence(1, 12), m -> (months & shiftleft(1, m - 1)) > 0)")
+    return member_years(spans).select("person_id", "year", F.explode(numbers).alias("__month")).select(
+        "person_id",
+        F.concat(F.lpad(F.col("year").cast("string"), 4, "0"), F.lpad(F.col("__month").cast("string"), 2, "0")).alias("year_month"),
     )
-    return spans.select("person_id", F.explode(months).alias("__month")).select(
-        "person_id", F.date_format("__month", "yyyyMM").alias("year_month")
-    ).distinct()
 
 
 def cost_per_member_month(
@@ -102,13 +115,29 @@ def cost_per_member_month(
     first_year: str = FIRST_YEAR,
     last_year: str = LAST_YEAR,
 ) -> DataFrame:
-    """Medical paid per member per month, by calendar year. The year filter reaches both
-    inputs, so rows of other years are dropped before they are grouped."""
+    """Medical paid per member per month, by calendar year, from a table of member months. The
+    year filter reaches both inputs, so rows of other years are dropped before they are grouped."""
+    by_year = months.select(F.substr("year_month", F.lit(1), F.lit(4)).alias("year"), F.lit(1).alias("__months"))
+    return _cost_by_year(by_year, medical_claim, first_year, last_year)
+
+
+def cost_of_member_years(
+    years: DataFrame,
+    medical_claim: DataFrame,
+    first_year: str = FIRST_YEAR,
+    last_year: str = LAST_YEAR,
+) -> DataFrame:
+    """The rows of :func:`cost_per_member_month` from :func:`member_years`: months are counted by
+    their bits, no row stands for one."""
+    by_year = years.select(F.lpad(F.col("year").cast("string"), 4, "0").alias("year"), F.bit_count("months").alias("__months"))
+    return _cost_by_year(by_year, medical_claim, first_year, last_year)
+
+
+def _cost_by_year(by_year: DataFrame, medical_claim: DataFrame, first_year: str, last_year: str) -> DataFrame:
     member = (
-        months.withColumn("year", F.substr("year_month", F.lit(1), F.lit(4)))
-        .filter(F.col("year").between(first_year, last_year))
+        by_year.filter(F.col("year").between(first_year, last_year))
         .groupBy("year")
-        .agg(F.count(F.lit(1)).alias("member_months"))
+        .agg(F.sum("__months").alias("member_months"))
     )
     paid = (
         medical_claim.select(F.year("claim_start_date").cast("string").alias("__year"), "paid_amount")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,29 +119,48 @@ def bundle_resources(entries: DataFrame, resource_type: str, schema: T.StructTyp
     )
 
 
-def resolve_conditional_refs(df: DataFrame, reference: str, target: DataFrame, target_type: str) -> DataFrame:
+#: A reference by search: type, system and value of an identifier.
+SEARCH = r"(?s)^([A-Za-z]+)\?identifier=([^|]*)\|(.*)$"
+
+
+def reference_index(targets: Mapping[str, DataFrame]) -> DataFrame:
+    """One index of the identifiers of many types: type, system, value and the smallest id that
+    carries them. ``targets`` maps a type to its resources with id and identifier."""
+    entries = [
+        target.select(F.lit(name).alias("type"), "id", F.explode("identifier").alias("i"))
+        .select("type", "i.system", "i.value", "id")
+        .filter(F.col("system").isNotNull() & F.col("value").isNotNull())
+        for name, target in targets.items()
+    ]
+    return reduce(DataFrame.unionByName, entries).groupBy("type", "system", "value").agg(F.min("id").alias("id"))
+
+
+def resolve_references(df: DataFrame, reference: str, index: DataFrame) -> DataFrame:
     """Replace references such as ``Practitioner?identifier=system|value`` by ``Type/id``.
 
-    ``reference`` is a text column of ``df``; ``target`` holds resources with id and
-    identifier. Other references, and searches without a match, stay as they are. When
-    several targets carry the same identifier the smallest id is taken.
+    ``reference`` is a text column of ``df``, ``index`` comes from :func:`reference_index`. Other
+    references, and searches that the index does not answer, stay as they are. Only rows with a
+    search of an indexed form meet the index; all others pass by without a shuffle. A search that
+    very many rows share is split by adaptive execution, as both sides come from a shuffle.
     """
-    prefix = f"{target_type}?identifier="
-    search = F.when(F.col(reference).startswith(prefix), F.substr(F.col(reference), F.lit(len(prefix) + 1)))
-    system = F.when(search.contains("|"), F.substring_index(search, "|", 1))
-    value = F.substr(search, F.length(system) + 2)
-    index = (
-        target.select("id", F.explode("identifier").alias("i"))
-        .groupBy(F.col("i.system").alias("__system"), F.col("i.value").alias("__value"))
-        .agg(F.min("id").alias("__id"))
-        .filter(F.col("__system").isNotNull() & F.col("__value").isNotNull())
+    ref = F.col(reference)
+    is_search = F.coalesce(ref.rlike(SEARCH), F.lit(False))
+    type_, system, value = (F.regexp_extract(ref, SEARCH, k) for k in (1, 2, 3))
+    keys = index.select(*[F.col(c).alias(f"__{c}") for c in ("type", "system", "value", "id")])
+    searches = df.filter(is_search).select("*", type_.alias("__t"), system.alias("__s"), value.alias("__v"))
+    matches = (
+        (F.col("__t") == F.col("__type"))
+        & (F.col("__s") == F.col("__system"))
+        & (F.col("__v") == F.col("__value"))
     )
-    # Rows without a search keep a null system, which matches nothing, but they hash by
-    # their own text, so they do not pile up in one partition.
-    keyed = df.withColumn("__s", system).withColumn("__v", F.coalesce(value, F.col(reference)))
-    joined = keyed.join(never_broadcast(index), (F.col("__s") == F.col("__system")) & (F.col("__v") == F.col("__value")), "left")
-    resolved = F.coalesce(F.concat(F.lit(f"{target_type}/"), "__id"), F.col(reference))
-    return joined.withColumn(reference, resolved).select(*df.columns)
+    joined = searches.join(never_broadcast(keys), matches, "left")
+    found = F.coalesce(F.concat("__type", F.lit("/"), "__id"), ref)
+    return df.filter(~is_search).unionByName(joined.withColumn(reference, found).select(*df.columns))
+
+
+def resolve_conditional_refs(df: DataFrame, reference: str, target: DataFrame, target_type: str) -> DataFrame:
+    """:func:`resolve_references` with the identifiers of one type."""
+    return resolve_references(df, reference, reference_index({target_type: target}))
 
 
 def read_code_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -11,7 +11,8 @@ from clinflat import Col, FlatView, Select
 from clinflat.plans.tables import TABLES
 from clinflat.sources.resources import (
     read_bundles, bundle_resources, explode_bundles, read_code_table, read_resources,
-    read_resources_since, latest_update, resolve_conditional_refs,
+    read_resources_since, latest_update, reference_index, resolve_conditional_refs,
+    resolve_references,
 )
 from clinflat.sources.schemas import DIAGNOSIS_MAP_SCHEMA
 from clinflat.sources.sinks import flatten_all, write_parquet, write_table
@@ -160,6 +161,26 @@ def test_conditional_references(spark):
     same(got, [{"r": x} for x in ("Org/1", "Org/0", "Org?identifier=s|z", "Org/9", "Person?identifier=s|a", None)])
 
 
+def test_references_of_many_types(spark):
+    kind = "id string, identifier array<struct<system:string,value:string>>"
+    people = spark.createDataFrame([("p2", [("s", "a|b")]), ("p1", [("s", "a|b"), (None, "x"), ("s", None)])], kind)
+    groups = spark.createDataFrame([("g", [("s", "a|b")]), ("h", [("", "e")])], kind)
+    index = reference_index({"Person": people, "Group": groups, "Empty": groups.limit(0)})
+    assert index.count() == 3
+    refs = ["Person?identifier=s|a|b", "Group?identifier=s|a|b", "Group?identifier=|e", "Empty?identifier=s|a|b", "Person?identifier=s|"]
+    plain = ["Person/1", "Person?name=x", "#c", "", None]
+    df = spark.createDataFrame([(r, 1) for r in refs + plain], "r string, __n int")
+    got = resolve_references(df, "r", index)
+    want = ["Person/p1", "Group/g", "Group/h", *refs[3:], *plain]
+    same(got, [{"r": r, "__n": 1} for r in want])
+    # only searches are shuffled: the other rows' branch, the first of the union, has no exchange
+    plan = resolve_references(df, "r", index)._jdf.queryExecution().executedPlan().toString().splitlines()
+    top = next(i for i, line in enumerate(plan) if line.endswith("Union"))
+    indent = plan[top].index("Union")
+    bypass = [line for line in plan[top + 1 :] if line[indent : indent + 1] == ":"]
+    assert any("NOT coalesce(RLIKE" in line for line in bypass) and not any("Exchange" in line for line in bypass)
+
+
 def test_code_table(spark, tmp_path):
     (tmp_path / "map.csv").write_text(
         "referenced_component_id,map_target,map_target_name,map_group,map_priority,map_rule,active\n123,E11.9,Diabetes,1,1,TRUE,1\n"

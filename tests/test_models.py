@@ -84,6 +84,28 @@ def test_cost_report_year_filter_and_missing_cost(spark):
     ]
 
 
+def test_member_years_combine_overlaps(spark):
+    spans = [
+        ("a", date(2016, 11, 30), date(2018, 2, 1)), ("a", date(2017, 3, 1), date(2017, 3, 2)), ("a", date(2018, 2, 1), date(2018, 4, 5)),
+        ("b", date(2016, 1, 1), date(2016, 12, 31)), ("b", date(2016, 5, 1), date(2016, 6, 30)), ("c", None, date(2016, 1, 1)),
+        ("c", date(2016, 5, 1), date(2016, 4, 1)), ("d", date(2016, 12, 31), date(2016, 12, 31)),
+    ]
+    df = spark.createDataFrame(spans, "person_id string, enrollment_start_date date, enrollment_end_date date")
+    expected = {
+        (p, f"{k // 12:04d}{k % 12 + 1:02d}")
+        for p, s, e in spans if s and s <= e
+        for k in range(s.year * 12 + s.month - 1, e.year * 12 + e.month)
+    }
+    months = reports.member_months(df)
+    assert sorted(map(tuple, months.collect())) == sorted(expected)
+    paid = spark.createDataFrame([(date(2016, 3, 1), 10.5)], "claim_start_date date, paid_amount float")
+    of_years = reports.cost_of_member_years(reports.member_years(df), paid)
+    assert rows(of_years) == rows(reports.cost_per_member_month(months, paid))
+    # an explosion by year, none by month, and the bits are combined before their shuffle
+    plan = of_years._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Generate explode") == 1 and "partial_bit_or" in plan
+
+
 def test_summary_with_missing_tables(spark):
     people = spark.createDataFrame([("a",)], "person_id string")
     assert rows(reports.headline_summary(spark, patient=people)) == [
