@@ -20,6 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import checks.operator_queries  # noqa: F401
+from checks.nesting import as_json
 from checks.queries import QUERIES, RUN, Models
 from checks.records import RECORDS, records, terminology
 from clinflat.plans import reports
@@ -71,7 +72,7 @@ def write_files(spark, tables, folder: str) -> None:
             continue
         done.add(resource)
         staged = f"{folder}.{resource}"
-        records(spark, FOLDER, table).selectExpr("to_json(struct(*)) as value").write.text(staged)
+        as_json(records(spark, FOLDER, table)).write.text(staged)
         parts = sorted(n for n in os.listdir(staged) if n.startswith("part-"))
         for i, name in enumerate(parts):
             os.link(f"{staged}/{name}", f"{folder}/{resource}.{i:03d}.ndjson")

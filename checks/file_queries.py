@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.nesting import as_json
 from checks.queries import register
 from checks.records import FLAT_SQL, RECORDS, TERMINOLOGY_SQL, records, terminology
 from clinflat.operators.flatten import FlatView
@@ -19,6 +20,7 @@ from clinflat.sources import router
 from clinflat.sources.resources import read_code_table, read_resources
 from clinflat.sources.schemas import DIAGNOSIS_MAP_SCHEMA
 from clinflat.sources.sinks import flatten_all
+from clinflat.sources.upkeep import IncrementalTable
 from clinflat.streaming.landing import flatten_folder, flatten_stream, stream_resources
 
 
@@ -43,7 +45,7 @@ def export(spark: SparkSession, sf_dir: str, typed: Sequence[str] = (), mixed: S
     folder = new_folder(spark)
 
     def lines(table: str) -> DataFrame:
-        return records(spark, sf_dir, table).select(F.to_json(F.struct("*")).alias("value"))
+        return as_json(records(spark, sf_dir, table))
 
     for table in typed:
         write_named(spark, lines(table), folder, RECORDS[table][0])
@@ -112,6 +114,30 @@ def _code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_code_table(spark, path, DIAGNOSIS_MAP_SCHEMA)
 
 
+def _two_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Practitioners of a full export, then of a later one with changes of every second and with old rows again."""
+    full = records(spark, sf_dir, "practitioner")
+
+    def at(df: DataFrame, time: str) -> DataFrame:
+        meta = F.struct(F.lit(time).alias("lastUpdated")).cast(full.schema["meta"].dataType)
+        return df.withColumn("meta", meta)
+
+    first, second, source = at(full, "2024-01-01T00:00:00Z"), new_folder(spark), new_folder(spark)
+    changed = at(full.where("cast(id as long) % 2 = 0").withColumn("gender", F.lit("other")), "2024-02-01T00:00:00+01:00")
+    write_named(spark, as_json(first), source, "Practitioner")
+    write_named(spark, as_json(changed.unionByName(first.where("cast(id as long) % 5 < 2"))), second, "Practitioner")
+    table = IncrementalTable(spark, new_folder(spark), "Practitioner")
+    table.load(source)
+    table.load(second)
+    return TABLES["practitioner"].apply(table.current())
+
+
+register(
+    "incremental_table",
+    _two_exports,
+    f"""select * replace (case when cast(id as bigint) % 2 = 0 then 'other' else gender end as gender)
+    from ({FLAT_SQL["practitioner"]})""",
+)
 register("files_read", _read, FLAT_SQL["practitioner"])
 register("files_routed", _routed, FLAT_SQL["location"])
 register(

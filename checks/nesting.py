@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflat.sources.schemas import resource_schema
@@ -48,4 +49,23 @@ def record(df: DataFrame, resource_type: str, parts: dict[str, Any]) -> DataFram
     unknown = set(parts) - set(schema.names)
     if unknown:
         raise ValueError(f"fields {unknown} are not declared")
-    return df.selectExpr(*[f"{nested(parts.get(f.name), f.dataType)} as {f.name}" for f in schema.fields])
+    built = df.selectExpr(*[f"{nested(parts.get(f.name), f.dataType)} as {f.name}" for f in schema.fields])
+    # the comments of the schema, which say what kind of text a leaf is
+    return built.to(schema)
+
+
+def as_json(df: DataFrame) -> DataFrame:
+    """Records as lines of JSON, with numbers where the read schema keeps their text."""
+    plain = [F.col(f.name).cast(_plain(f.dataType)).alias(f.name) for f in df.schema.fields]
+    return df.select(F.to_json(F.struct(*plain)).alias("value"))
+
+
+def _plain(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_plain(dtype.elementType), dtype.containsNull)
+    if not isinstance(dtype, T.StructType):
+        return dtype
+    return T.StructType([
+        T.StructField(f.name, T.DoubleType() if f.metadata.get("comment") == "decimal" else _plain(f.dataType), f.nullable)
+        for f in dtype.fields
+    ])

@@ -404,6 +404,54 @@ register(
 )
 
 
+def _choices(n: Node) -> Column:
+    value = n["value"]
+    return F.when(value.is_type("Quantity"), value["unit"].col).otherwise(value.col)
+
+
+view(
+    "choice_without_type",
+    [
+        Select([
+            Col("id", "id"),
+            Col("value", _choices),
+            Col("words", lambda n: n["value"].only_type("string")),
+            Col("amount", lambda n: n["value"]["value"], "decimal"),
+            Col("is_flag", lambda n: n["value"].is_type("boolean"), "boolean"),
+            Col("is_urgent", lambda n: n["value"] == "1-URGENT", "boolean"),
+            Col("is_true", lambda n: n["value"] == True, "boolean"),  # noqa: E712
+            Col("there", lambda n: n["value"].exists(), "boolean"),
+        ])
+    ],
+    """select cast(o_orderkey as string) as id,
+    case o_orderkey % 3 when 0 then 'usd' when 1 then o_orderpriority else if(o_orderkey % 2 = 0, 'true', 'false') end as value,
+    if(o_orderkey % 3 = 1, o_orderpriority, null) as words, if(o_orderkey % 3 = 0, o_totalprice, null) as amount,
+    o_orderkey % 3 = 2 as is_flag, o_orderkey % 3 = 1 and o_orderpriority = '1-URGENT' as is_urgent,
+    o_orderkey % 3 = 2 and o_orderkey % 2 = 0 as is_true, true as there from orders""",
+)
+
+
+def _alike(spark: SparkSession, folder: str) -> DataFrame:
+    tags = Path(F.col("tags"), T.ArrayType(T.StringType()))
+    other = Path(F.col("other"), T.ArrayType(T.StringType()))
+    rows = source(spark, folder, "orders").select(
+        "o_orderkey",
+        F.split("o_orderpriority", "-").alias("tags"),
+        F.expr("""case o_orderkey % 4 when 0 then array(upper(split(o_orderpriority, '-')[1]), ' ' || split(o_orderpriority, '-')[0])
+            when 1 then array(split(o_orderpriority, '-')[0], split(o_orderpriority, '-')[0])
+            when 2 then split(lower(o_orderpriority), '-') end""").alias("other"),
+    )
+    return rows.select(
+        "o_orderkey", tags.equivalent(other).alias("alike"), tags.equivalent(other, in_order=True).alias("in_order")
+    )
+
+
+register(
+    "equivalent_collections",
+    _alike,
+    """select o_orderkey, o_orderkey % 4 in (0, 2) as alike, o_orderkey % 4 = 2 as in_order from orders""",
+)
+
 # -- recursive descent over part ----------------------------------------------------------------
 
 

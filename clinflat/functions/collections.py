@@ -20,6 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinflat.functions import temporal
 from clinflat.functions.temporal import compare_partial
 
 # Type names and the choice-element suffix rule of the record standard.
@@ -29,6 +30,17 @@ STRING_TYPES = (
 )
 INTEGER_TYPES = ("integer", "positiveInt", "unsignedInt", "integer64")
 TEMPORAL_TYPES = ("date", "dateTime", "instant", "time")
+# The data types that a choice element may have.
+CHOICE_TYPES = (
+    "base64Binary", "boolean", "canonical", "code", "date", "dateTime", "decimal", "id", "instant",
+    "integer", "integer64", "markdown", "oid", "positiveInt", "string", "time", "unsignedInt", "uri",
+    "url", "uuid", "Address", "Age", "Annotation", "Attachment", "CodeableConcept",
+    "CodeableReference", "Coding", "ContactPoint", "Count", "Distance", "Duration", "HumanName",
+    "Identifier", "Money", "Period", "Quantity", "Range", "Ratio", "RatioRange", "Reference",
+    "SampledData", "Signature", "Timing", "ContactDetail", "DataRequirement", "Expression",
+    "ParameterDefinition", "RelatedArtifact", "TriggerDefinition", "UsageContext", "Availability",
+    "ExtendedContactDetail", "Dosage", "Meta",
+)
 
 
 class PathError(ValueError):
@@ -161,7 +173,10 @@ class Path:
 
     def __getitem__(self, name: str) -> Path:
         if not self.has(name):
-            raise PathError(f"no field {name!r} in {self.item_type.simpleString()}")
+            variants = [t for t in CHOICE_TYPES if self.has(name + _capital(t))]
+            if not variants:
+                raise PathError(f"no field {name!r} in {self.item_type.simpleString()}")
+            return Choice(self, name, variants)
         field = self.item_type[name]
         ftype = field.dataType
         inner = F.col(f"`{name}`") if self._col is None else self._col[name]
@@ -171,13 +186,12 @@ class Path:
                 return Path(inner.cast(records), records, False)
             each = F.transform(drop_nulls(inner), lambda v: v.cast(records))
             return Path(F.flatten(drop_nulls(each)), records, False)
-        if self._col is None:
-            return Path(inner, ftype)
-        if not self.many:
-            return Path(inner, ftype, self.plain)
+        kind = field.metadata.get("comment")
+        if self._col is None or not self.many:
+            return _leaf(inner, ftype, kind, self.plain or self._col is None)
         if isinstance(ftype, T.ArrayType):
-            return Path(F.flatten(drop_nulls(inner)), ftype, False)
-        return Path(inner, T.ArrayType(ftype), self.plain)
+            return _leaf(F.flatten(drop_nulls(inner)), ftype, kind, False)
+        return _leaf(inner, T.ArrayType(ftype), kind, self.plain)
 
     def __iter__(self):
         raise TypeError("a path is not iterable; use items in a view's for_each")
@@ -195,7 +209,7 @@ class Path:
         Only the declared variant counts; a plain field ``name`` that holds resources
         (such as contained ones) is filtered by its resourceType.
         """
-        variant = name + type_name[0].upper() + type_name[1:]
+        variant = name + _capital(type_name)
         if self.has(variant):
             return self[variant]
         return self[name].only_type(type_name)
@@ -225,22 +239,26 @@ class Path:
 
     # -- collections ---------------------------------------------------------------
 
+    def _like(self, col: Column, dtype: T.DataType, plain: bool = False, clean: bool = False) -> Path:
+        """A path to some of the same items: values of a kind stay of that kind."""
+        return Path(col, dtype, plain, clean)
+
     def where(self, condition: Callable[..., Any]) -> Path:
         """Keep items for which the condition is true. It may take (item) or (item, index)."""
         if not self.many:
             keep = F.coalesce(_truth(condition(self)), F.lit(False))
-            return Path(F.when(keep, self.col), self.dtype, False)
+            return self._like(F.when(keep, self.col), self.dtype)
         if condition.__code__.co_argcount == 2:
 
             def test(x: Column, i: Column) -> Column:
-                return F.coalesce(_truth(condition(Path(x, self.item_type), i)), F.lit(False))
+                return F.coalesce(_truth(condition(self._like(x, self.item_type, True), i)), F.lit(False))
 
-            return Path(F.filter(self.compact, test), self.dtype, False, True)
-        return Path(
+            return self._like(F.filter(self.compact, test), self.dtype, False, True)
+        return self._like(
             F.filter(
                 self.col,
                 lambda x: x.isNotNull()
-                & F.coalesce(_truth(condition(Path(x, self.item_type))), F.lit(False)),
+                & F.coalesce(_truth(condition(self._like(x, self.item_type, True))), F.lit(False)),
             ),
             self.dtype,
             False,
@@ -267,26 +285,26 @@ class Path:
         if not self.many:
             return self
         if self.clean or not self.plain:
-            return Path(F.get(self.compact, F.lit(0)), self.item_type, False)
-        return Path(first_present(self.col), self.item_type, False)
+            return self._like(F.get(self.compact, F.lit(0)), self.item_type)
+        return self._like(first_present(self.col), self.item_type)
 
     def last(self) -> Path:
         if not self.many:
             return self
-        return Path(F.try_element_at(self.compact, F.lit(-1)), self.item_type, False)
+        return self._like(F.try_element_at(self.compact, F.lit(-1)), self.item_type)
 
     def at(self, index: int | Column) -> Path:
         """Zero-based item; out of range gives null."""
         if not self.many:
-            return Path(F.when(F.lit(index) == 0, self.col), self.dtype)
-        return Path(F.get(self.compact, F.lit(index)), self.item_type, False)
+            return self._like(F.when(F.lit(index) == 0, self.col), self.dtype, True)
+        return self._like(F.get(self.compact, F.lit(index)), self.item_type)
 
     def skip(self, n: int) -> Path:
         a = self.array
         if n < 0:
             raise PathError("skip needs a count of zero or more")
         rest = F.slice(a, F.lit(n + 1), F.greatest(F.array_size(a) - n, F.lit(0)))
-        return Path(rest, T.ArrayType(self.item_type), False, True)
+        return self._like(rest, T.ArrayType(self.item_type), False, True)
 
     def tail(self) -> Path:
         return self.skip(1)
@@ -294,14 +312,14 @@ class Path:
     def take(self, n: int) -> Path:
         if n < 0:
             raise PathError("take needs a count of zero or more")
-        return Path(F.slice(self.array, F.lit(1), F.lit(n)), T.ArrayType(self.item_type), False, True)
+        return self._like(F.slice(self.array, F.lit(1), F.lit(n)), T.ArrayType(self.item_type), False, True)
 
     def one(self, label: str = "single()") -> Column:
         """The only value; several values are an error when the row is computed."""
         return strict_one(self.col, label) if self.many else self.col
 
     def single(self, label: str = "single()") -> Path:
-        return Path(self.one(label), self.item_type, False)
+        return self._like(self.one(label), self.item_type)
 
     def count(self) -> Column:
         if self.many:
@@ -333,7 +351,11 @@ class Path:
     def or_first(self, *others: Path) -> Path:
         """First value of the first path that has one."""
         values = [p.first().col for p in (self, *others)]
-        return Path(F.coalesce(*values), self.item_type, False)
+        return self._like(F.coalesce(*values), self.item_type)
+
+    def joined(self, *others: Path) -> Path:
+        """Items of all paths, in order, repeated ones too."""
+        return self._like(F.concat(*[p.array for p in (self, *others)]), T.ArrayType(self.item_type), False, True)
 
     def contains_item(self, item: Any) -> Column:
         """Membership: null for a missing item, false for an empty collection."""
@@ -364,6 +386,20 @@ class Path:
         """Ids of references (see :func:`reference_key`)."""
         return self["reference"].map(lambda r: reference_key(r, target), T.StringType())
 
+    def low_boundary(self, kind: str | None = None) -> Path:
+        """Earliest or smallest value that each written value can stand for. ``kind`` is date,
+        dateTime, time or decimal, by default that of the field."""
+        return self._boundary(temporal.low_boundary, kind)
+
+    def high_boundary(self, kind: str | None = None) -> Path:
+        """Latest or largest value that each written value can stand for."""
+        return self._boundary(temporal.high_boundary, kind)
+
+    def _boundary(self, side: Callable[[Column, str], Column], kind: str | None) -> Path:
+        if not isinstance(self.item_type, T.StringType) or kind is None:
+            raise PathError("a boundary needs the value as written: a text of a known kind")
+        return self.map(lambda c: side(c, kind), T.DoubleType() if kind == "decimal" else T.StringType())
+
     def as_partial(self) -> PartialDates:
         """The same values, compared as dates and times of their written precision."""
         return PartialDates(self.col, self.dtype, self.plain, self.clean)
@@ -392,6 +428,20 @@ class Path:
         )
         return F.when(v.isNotNull(), result) if isinstance(other, Column) else result
 
+    def equivalent(self, other: Any, in_order: bool = False) -> Column:
+        """Whether both hold the same items as often as each other, whatever their order: text without
+        regard to case and runs of blanks. Two empty collections are; the answer is never null.
+        With ``in_order`` items are compared one by one in their order."""
+        mine, theirs = _normal(self.array, self.item_type), other
+        if isinstance(other, Path):
+            theirs = _normal(other.array, other.item_type)
+        else:
+            single = F.array_compact(F.array(value_of(other)))
+            theirs = _normal(single, self.item_type)
+        if not in_order:
+            mine, theirs = F.array_sort(mine), F.array_sort(theirs)
+        return (F.size(mine) == F.size(theirs)) & F.coalesce(mine == theirs, F.lit(False))
+
     def __eq__(self, other: Any) -> Column:  # type: ignore[override]
         return self.equals(other)
 
@@ -413,13 +463,130 @@ class Path:
         return self.one(">=") >= _one(other)
 
 
+def _capital(type_name: str) -> str:
+    return type_name[0].upper() + type_name[1:]
+
+
+def _normal(items: Column, kind: T.DataType) -> Column:
+    """Items in the form in which equivalent ones are equal."""
+    if isinstance(kind, T.StringType):
+        return F.transform(items, lambda x: F.lower(F.trim(F.regexp_replace(x, r"\s+", " "))))
+    if isinstance(kind, T.NumericType):
+        return F.transform(items, lambda x: x.cast("double"))
+    return items
+
+
+class Choice(Path):
+    """A choice element without its type, such as ``value`` for all of valueQuantity, valueString, ...
+
+    It is the union of the declared variants. As a value it is text: that of a simple value, the
+    JSON text of a record. ``only_type`` and ``is_type`` pick a variant, a further step goes into
+    the records of those variants that have the field, and ``==`` compares with the variants of
+    the other side's kind.
+    """
+
+    def __init__(self, parent: Path, name: str, types: list[str]):
+        self.parent, self.name, self.types = parent, name, types
+        if parent.many:
+            text = F.transform(parent.compact, lambda x: Choice(Path(x, parent.item_type), name, types).col)
+            super().__init__(text, T.ArrayType(T.StringType()), False)
+        else:
+            super().__init__(F.coalesce(*[_as_text(v) for v in self._variants().values()]), T.StringType(), False)
+
+    def _variants(self) -> dict[str, Path]:
+        return {t: self.parent[self.name + _capital(t)] for t in self.types}
+
+    def has(self, name: str) -> bool:
+        return any(v.has(name) for v in self._variants().values())
+
+    def __getitem__(self, name: str) -> Path:
+        fields = [v[name] for v in self._variants().values() if v.has(name)]
+        if not fields:
+            raise PathError(f"no variant of {self.name!r} has a field {name!r}")
+        if len(fields) == 1:
+            return fields[0]
+        if len({f.dtype.simpleString() for f in fields}) > 1 or self.many:
+            raise PathError(f"variants of {self.name!r} have fields {name!r} of several kinds: name the type")
+        return fields[0].or_first(*fields[1:]) if not fields[0].many else fields[0].joined(*fields[1:])
+
+    def only_type(self, type_name: str) -> Path:
+        if type_name in self.types:
+            return self._variants()[type_name]
+        return Path(F.lit(None).cast(self.dtype), self.dtype)
+
+    def is_type(self, type_name: str) -> Column:
+        return F.when(self.one().isNotNull(), self.only_type(type_name).exists())
+
+    def equals(self, other: Any) -> Column:
+        if isinstance(other, (Path, Column)):
+            return super().equals(other)
+        alike = [v for v in self._variants().values() if _same_kind(v.item_type, other)]
+        matches = [F.coalesce(v == other, F.lit(False)) for v in alike]
+        found = F.lit(False)
+        for m in matches:
+            found = found | m
+        return F.when(self.exists(), found)
+
+
+def _as_text(value: Path) -> Column:
+    if isinstance(value, WrittenNumbers):
+        return value.written.col
+    kind = value.dtype
+    return F.to_json(value.col) if isinstance(kind, (T.StructType, T.ArrayType)) else value.col.cast("string")
+
+
+def _same_kind(kind: T.DataType, value: Any) -> bool:
+    if isinstance(value, bool):
+        return isinstance(kind, T.BooleanType)
+    if isinstance(value, str):
+        return isinstance(kind, T.StringType)
+    return isinstance(kind, T.NumericType)
+
+
+def _leaf(col: Column, dtype: T.DataType, kind: str | None, plain: bool) -> Path:
+    """A field whose comment in the schema says that it is read as text for the sake of its written form."""
+    item = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+    if kind in TEMPORAL_TYPES and isinstance(item, T.StringType):
+        return PartialDates(col, dtype, plain, kind=kind)
+    if kind == "decimal" and isinstance(item, T.StringType):
+        return WrittenNumbers(col, dtype, plain)
+    return Path(col, dtype, plain)
+
+
 class PartialDates(Path):
     """Dates and times as text, which may be partial ("2020", "2020-06").
 
     A comparison is null where the shared part is equal and one side is less precise, as
-    ``1960-06`` may be any day of that month.
+    ``1960-06`` may be any day of that month. Fields whose comment in the schema is date,
+    dateTime, instant or time are such paths.
     """
 
+    def __init__(
+        self, col: Column | None, dtype: T.DataType, plain: bool = True, clean: bool = False, kind: str | None = None
+    ):
+        super().__init__(col, dtype, plain, clean)
+        self.kind = kind
+
+    def _like(self, col: Column, dtype: T.DataType, plain: bool = False, clean: bool = False) -> Path:
+        return PartialDates(col, dtype, plain, clean, self.kind)
+
+    def _boundary(self, side: Callable[[Column, str], Column], kind: str | None) -> Path:
+        return super()._boundary(side, kind or self.kind)
+
+    def distinct(self) -> Path:
+        """First of the items that are equal; two that cannot be told apart both stay."""
+
+        def add(kept: Column, x: Column) -> Column:
+            known = F.exists(kept, lambda y: F.coalesce(compare_partial(y, x) == 0, F.lit(False)))
+            return F.when(known, kept).otherwise(F.concat(kept, F.array(x)))
+
+        none = F.array().cast(T.ArrayType(self.item_type))
+        return self._like(F.aggregate(self.array, none, add), T.ArrayType(self.item_type), False, True)
+
+    def union(self, other: Path) -> Path:
+        both = F.concat(self.array, other.array)
+        return self._like(both, T.ArrayType(self.item_type), False, True).distinct()
+
     def _order(self, other: Any, label: str) -> Column:
         return compare_partial(self.one(label), _one(other))
 
@@ -449,6 +616,38 @@ class PartialDates(Path):
         return self._order(other, ">=") >= 0
 
 
+class WrittenNumbers(Path):
+    """Decimal numbers that keep the text they are written as. They count as numbers everywhere;
+    their boundaries come from the written digits, so ``1.50`` reaches from 1.495 to 1.505."""
+
+    def __init__(self, text: Column, dtype: T.DataType, plain: bool = True, clean: bool = False):
+        self.written = Path(text, dtype, plain, clean)
+        if isinstance(dtype, T.ArrayType):
+            number, kind = F.transform(text, lambda x: x.cast("double")), T.ArrayType(T.DoubleType())
+        else:
+            number, kind = text.cast("double"), T.DoubleType()
+        super().__init__(number, kind, False, clean)
+
+    def first(self) -> Path:
+        return self._of(self.written.first())
+
+    def last(self) -> Path:
+        return self._of(self.written.last())
+
+    def at(self, index: int | Column) -> Path:
+        return self._of(self.written.at(index))
+
+    def single(self, label: str = "single()") -> Path:
+        return self._of(self.written.single(label))
+
+    @staticmethod
+    def _of(written: Path) -> WrittenNumbers:
+        return WrittenNumbers(written.col, written.dtype, False, written.clean)
+
+    def _boundary(self, side: Callable[[Column, str], Column], kind: str | None) -> Path:
+        return self.written._boundary(side, kind or "decimal")
+
+
 def _one(x: Any) -> Column:
     return x.one() if isinstance(x, Path) else value_of(x)
 

@@ -34,13 +34,26 @@ def first_per_key(
 
 
 def first_k_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str, salts: int = 1
 ) -> DataFrame:
     """The first ``k`` rows per key with their rank from 1. Spark limits each group in the
-    map tasks, before the shuffle, so a key never sends more than ``k`` rows per task."""
-    window = Window.partitionBy(*keys).orderBy(*[c.asc_nulls_last() for c in order])
-    ranked = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
-    return ranked.withColumn(rank, F.col(rank).cast("bigint"))
+    map tasks, before the shuffle, so a key never sends more than ``k`` rows per task.
+
+    With ``salts`` over 1 the rows of a key are first limited in that many parts, by a hash of the
+    row, and the parts' firsts then meet: a key's last task gets at most ``k`` times ``salts`` rows,
+    whatever the number of map tasks. That is one more shuffle, for tables where few keys hold
+    rows of very many tasks.
+    """
+    ordered = [c.asc_nulls_last() for c in order]
+    if salts > 1:
+        df = _limited(df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts))), [*keys, "__salt"], ordered, k, rank)
+        df = df.drop("__salt", rank)
+    return _limited(df, keys, ordered, k, rank).withColumn(rank, F.col(rank).cast("bigint"))
+
+
+def _limited(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
 
 def rank_all(

@@ -168,13 +168,14 @@ def claim_diagnoses(eob_diagnosis: DataFrame, condition: DataFrame, code_map: Da
 
 
 def claim_diagnosis_lists(
-    eob_diagnosis: DataFrame, condition: DataFrame, code_map: DataFrame, n: int = DIAGNOSIS_COLUMNS
+    eob_diagnosis: DataFrame, condition: DataFrame, code_map: DataFrame, n: int = DIAGNOSIS_COLUMNS, salts: int = 1
 ) -> DataFrame:
     """One row per claim with its first ``n`` diagnoses as an array in rank order. Ranks are
-    those of :func:`claim_diagnoses`; only the first ``n`` are computed."""
+    those of :func:`claim_diagnoses`; only the first ``n`` are computed. ``salts`` is for claims
+    with diagnoses in very many tasks (see :func:`first_k_per_key`)."""
     order = [F.col("sequence"), F.col("icd10_code"), F.col("on_admission_code")]
     dx = coded_diagnoses(eob_diagnosis, condition, code_map)
-    ranked = first_k_per_key(dx, ["claim_id"], order, n, "diagnosis_rank")
+    ranked = first_k_per_key(dx, ["claim_id"], order, n, "diagnosis_rank", salts)
     return ranked_lists(ranked, "claim_id", "diagnosis_rank", list(DIAGNOSIS_FIELDS), n, "diagnoses")
 
 

@@ -32,7 +32,7 @@ class InputLayer:
     where one is named, else where the database keeps its tables; shared intermediates carry the
     prefix ``stage_``. Building again replaces all of them. ``buckets`` is the number of buckets
     by claim, by default that of shuffle partitions: choose it so that a bucket of claim lines
-    fits a task.
+    fits a task. ``diagnosis_salts`` is for claims with diagnoses in very many tasks.
     """
 
     def __init__(
@@ -46,12 +46,13 @@ class InputLayer:
         folder: str | None = None,
         buckets: int | None = None,
         long_claim: int = LONG_CLAIM,
+        diagnosis_salts: int = 1,
     ) -> None:
         self.spark, self.flat, self.database, self.folder = spark, flat, database, folder
         self.diagnosis_map, self.drug_packages = diagnosis_map, drug_packages
         self.run = run or RunInfo()
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.long_claim = long_claim
+        self.long_claim, self.diagnosis_salts = long_claim, diagnosis_salts
         self.has_long_claims = False
         self.report: list[tuple[str, int, float]] = []
 
@@ -92,7 +93,10 @@ class InputLayer:
         )
         self._write("stage_claim_header", headers, by="claim_id")
         lists = claims.claim_diagnosis_lists(
-            self.flat("explanation_of_benefit_diagnosis"), self.flat("condition"), self.table("stage_diagnosis_code")
+            self.flat("explanation_of_benefit_diagnosis"),
+            self.flat("condition"),
+            self.table("stage_diagnosis_code"),
+            salts=self.diagnosis_salts,
         )
         self._write("stage_claim_diagnosis", lists, by="claim_id")
         if self.has_long_claims:

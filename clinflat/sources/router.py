@@ -32,11 +32,14 @@ def typed_lines(lines: DataFrame) -> DataFrame:
     return kept.select("value", line_type(F.col("value"), F.col("_metadata.file_name")).alias("type"))
 
 
-def parsed(lines: DataFrame, resource_type: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Typed records of one type from lines with their types; what does not fit the schema is an error."""
-    record = F.from_json("value", schema or resource_schema(resource_type), {"mode": "FAILFAST"})
-    records = lines.filter(F.col("type") == resource_type).select(record.alias("r")).select("r.*")
-    return records.filter(F.col("resourceType") == resource_type)
+def write_by_type(lines: DataFrame, layout: str) -> None:
+    """Write lines with their types as text, a folder per type; a layout that is there is replaced.
+
+    Each task writes a file per type that it meets; nothing shuffles. Large splits
+    (spark.sql.files.maxPartitionBytes) make fewer, larger files.
+    """
+    typed = lines.filter(F.col("type").isNotNull()).select("value", F.col("type").alias("record_type"))
+    typed.write.mode("overwrite").partitionBy("record_type").text(layout)
 
 
 def untyped_files(spark: SparkSession, source: str) -> DataFrame:
@@ -51,18 +54,18 @@ def has_untyped_files(spark: SparkSession, source: str) -> bool:
 
 
 def route_resources(spark: SparkSession, source: str, layout: str) -> None:
-    """Write the records of a folder's untyped files to ``layout``, a folder per type, in one scan.
-
-    Each task writes a file per type that it meets; nothing shuffles. Large splits
-    (spark.sql.files.maxPartitionBytes) make fewer, larger files.
-    """
-    lines = typed_lines(untyped_files(spark, source))
-    lines.filter(F.col("type").isNotNull()).write.partitionBy("type").parquet(layout)
+    """Write the records of a folder's untyped files to ``layout``, a folder per type, in one scan."""
+    write_by_type(typed_lines(untyped_files(spark, source)), layout)
 
 
 def read_routed(
     spark: SparkSession, layout: str, resource_type: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """Records of one type from a layout of :func:`route_resources`; other types' folders are not read."""
-    lines = spark.read.schema("value string, type string").parquet(layout)
-    return parsed(lines, resource_type, schema)
+    """Records of one type from a layout of :func:`write_by_type`; other types' folders are not read.
+    Values are parsed from the lines themselves, so numbers keep their digits."""
+    schema = schema or resource_schema(resource_type)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    of_layout = T.StructType([*schema.fields, T.StructField("record_type", T.StringType())])
+    records = spark.read.schema(of_layout).option("mode", "FAILFAST").json(layout)
+    wanted = (F.col("record_type") == resource_type) & (F.col("resourceType") == resource_type)
+    return records.filter(wanted).drop("record_type")

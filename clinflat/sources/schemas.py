@@ -3,6 +3,10 @@
 JSON text carries no types, and a value read against the wrong shape becomes null or, in
 fail-fast mode, an error. So every field's cardinality is declared here. The declaration
 is also the column pruning of the scan: nothing else is parsed into rows.
+
+Leaves whose written form counts are declared as text with a comment that names their kind:
+dates and times, which may be partial and compare by their precision, and measured quantities,
+whose written digits tell their precision. Paths read the comment.
 """
 
 from __future__ import annotations
@@ -11,14 +15,16 @@ from functools import cache
 
 from pyspark.sql import types as T
 
+DATE, DATE_TIME, INSTANT = (f"string COMMENT '{kind}'" for kind in ("date", "dateTime", "instant"))
+DECIMAL = "string COMMENT 'decimal'"
 CODING = "struct<system:string,code:string,display:string>"
 CONCEPT = f"struct<coding:array<{CODING}>,text:string>"
 REFERENCE = "struct<reference:string,display:string>"
 IDENTIFIER = f"struct<system:string,value:string,type:{CONCEPT}>"
 SHORT_IDENTIFIER = "struct<system:string,value:string>"
 IDENTIFIED_REFERENCE = f"struct<reference:string,display:string,identifier:{SHORT_IDENTIFIER}>"
-PERIOD = "struct<start:string,end:string>"
-QUANTITY = "struct<value:double,unit:string,code:string>"
+PERIOD = f"struct<start:{DATE_TIME},end:{DATE_TIME}>"
+QUANTITY = f"struct<value:{DECIMAL},unit:string,code:string>"
 AMOUNT = "struct<value:double,currency:string>"
 TELECOM = "struct<system:string,value:string>"
 INNER_EXTENSION = (
@@ -38,11 +44,11 @@ ADDRESS = (
 )
 PLAIN_ADDRESS = "struct<line:array<string>,city:string,state:string,postalCode:string>"
 RANGE = "struct<low:struct<value:double>,high:struct<value:double>>"
-HEAD = "resourceType string, id string, meta struct<lastUpdated:string>"
+HEAD = f"resourceType string, id string, meta struct<lastUpdated:{INSTANT}>"
 
 _FIELDS = {
     "Patient": f"""identifier array<{IDENTIFIER}>, name array<{HUMAN_NAME}>, gender string,
-        birthDate string, deceasedDateTime string, deceasedBoolean boolean,
+        birthDate {DATE}, deceasedDateTime {DATE_TIME}, deceasedBoolean boolean,
         extension array<{EXTENSION}>, address array<{ADDRESS}>, telecom array<{TELECOM}>,
         maritalStatus {CONCEPT}, communication array<struct<language:{CONCEPT}>>""",
     "Encounter": f"""status string, class {CODING}, type array<{CONCEPT}>, subject {REFERENCE},
@@ -52,23 +58,23 @@ _FIELDS = {
         hospitalization struct<admitSource:{CONCEPT},dischargeDisposition:{CONCEPT}>""",
     "Condition": f"""clinicalStatus {CONCEPT}, verificationStatus {CONCEPT},
         category array<{CONCEPT}>, code {CONCEPT}, subject {REFERENCE}, encounter {REFERENCE},
-        onsetDateTime string, abatementDateTime string, recordedDate string""",
+        onsetDateTime {DATE_TIME}, abatementDateTime {DATE_TIME}, recordedDate {DATE_TIME}""",
     "Procedure": f"""status string, code {CONCEPT}, subject {REFERENCE}, encounter {REFERENCE},
-        performedDateTime string, performedPeriod {PERIOD},
+        performedDateTime {DATE_TIME}, performedPeriod {PERIOD},
         performer array<struct<actor:{REFERENCE}>>, location {REFERENCE},
         reasonCode array<{CONCEPT}>""",
     "Observation": f"""status string, category array<{CONCEPT}>, code {CONCEPT},
-        subject {REFERENCE}, encounter {REFERENCE}, effectiveDateTime string,
-        effectivePeriod {PERIOD}, issued string, valueQuantity {QUANTITY}, valueString string,
+        subject {REFERENCE}, encounter {REFERENCE}, effectiveDateTime {DATE_TIME},
+        effectivePeriod {PERIOD}, issued {INSTANT}, valueQuantity {QUANTITY}, valueString string,
         valueBoolean boolean, valueCodeableConcept {CONCEPT}, interpretation array<{CONCEPT}>,
         referenceRange array<{RANGE}>,
         component array<struct<code:{CONCEPT},valueQuantity:{QUANTITY},
             valueCodeableConcept:{CONCEPT}>>""",
     "DiagnosticReport": f"""status string, category array<{CONCEPT}>, code {CONCEPT},
-        subject {REFERENCE}, encounter {REFERENCE}, effectiveDateTime string, issued string,
+        subject {REFERENCE}, encounter {REFERENCE}, effectiveDateTime {DATE_TIME}, issued {INSTANT},
         result array<{REFERENCE}>""",
     "MedicationRequest": f"""status string, intent string, subject {REFERENCE},
-        encounter {REFERENCE}, authoredOn string, medicationCodeableConcept {CONCEPT},
+        encounter {REFERENCE}, authoredOn {DATE_TIME}, medicationCodeableConcept {CONCEPT},
         medicationReference {REFERENCE}, requester {REFERENCE},
         reasonReference array<{REFERENCE}>,
         dosageInstruction array<struct<text:string,asNeededBoolean:boolean>>,
@@ -76,11 +82,11 @@ _FIELDS = {
             expectedSupplyDuration:struct<value:double>>""",
     "Medication": f"status string, code {CONCEPT}, form {CONCEPT}",
     "Immunization": f"""status string, statusReason {CONCEPT}, vaccineCode {CONCEPT},
-        patient {REFERENCE}, encounter {REFERENCE}, occurrenceDateTime string,
+        patient {REFERENCE}, encounter {REFERENCE}, occurrenceDateTime {DATE_TIME},
         location {REFERENCE}, lotNumber string, site {CONCEPT}, route {CONCEPT},
         doseQuantity struct<value:double>, performer array<struct<actor:{REFERENCE}>>""",
     "AllergyIntolerance": f"""clinicalStatus {CONCEPT}, type string, category array<string>,
-        criticality string, code {CONCEPT}, patient {REFERENCE}, recordedDate string""",
+        criticality string, code {CONCEPT}, patient {REFERENCE}, recordedDate {DATE_TIME}""",
     "Practitioner": f"""identifier array<{SHORT_IDENTIFIER}>, name array<{HUMAN_NAME}>,
         gender string, address array<{PLAIN_ADDRESS}>""",
     "PractitionerRole": f"""practitioner {IDENTIFIED_REFERENCE},
@@ -95,13 +101,13 @@ _FIELDS = {
         class array<struct<type:{CONCEPT},value:string,name:string>>""",
     "ExplanationOfBenefit": f"""identifier array<{IDENTIFIER}>, status string, outcome string,
         claim {REFERENCE}, patient {REFERENCE}, type {CONCEPT}, billablePeriod {PERIOD},
-        created string, insurer {REFERENCE}, provider {REFERENCE}, facility {REFERENCE},
+        created {DATE_TIME}, insurer {REFERENCE}, provider {REFERENCE}, facility {REFERENCE},
         insurance array<struct<coverage:{REFERENCE}>>,
         contained array<struct<resourceType:string,id:string,type:struct<text:string>>>,
         diagnosis array<struct<sequence:bigint,diagnosisReference:{REFERENCE},
             diagnosisCodeableConcept:{CONCEPT},type:array<{CONCEPT}>,onAdmission:{CONCEPT}>>,
         item array<struct<sequence:bigint,productOrService:{CONCEPT},servicedPeriod:{PERIOD},
-            servicedDate:string,locationCodeableConcept:{CONCEPT},category:{CONCEPT},
+            servicedDate:{DATE},locationCodeableConcept:{CONCEPT},category:{CONCEPT},
             quantity:struct<value:double>,net:{AMOUNT},diagnosisSequence:array<bigint>,
             encounter:array<{REFERENCE}>,
             adjudication:array<struct<category:{CONCEPT},amount:{AMOUNT}>>>>,

@@ -22,7 +22,8 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from clinflat.operators.flatten import FlatView
 from clinflat.sources.resources import FILE_PATTERN, may_hold
-from clinflat.sources.router import parsed, typed_lines
+from clinflat.session import remove_folder
+from clinflat.sources.router import read_routed, typed_lines, write_by_type
 from clinflat.sources.schemas import resource_schema
 from clinflat.sources.sinks import view_name, write_parquet
 
@@ -111,9 +112,9 @@ def flatten_folder(
 ) -> StreamingQuery:
     """Flatten the files of a landing folder with many views as they arrive, in one stream.
 
-    Each batch reads its files once, whatever number of types and views they hold, and keeps the
-    lines on the executors' disks until its views are written; what a lost executor held is read
-    again. Rows of a view go to ``out/<name>/batch=<number>``, so ``spark.read.parquet`` of a
+    Each batch reads its files once, whatever number of types and views they hold, and keeps their
+    lines by type in a folder below ``out`` until its views are written. A type with several views
+    is parsed once onto the executors' disks; what a lost executor held is parsed again. Rows of a view go to ``out/<name>/batch=<number>``, so ``spark.read.parquet`` of a
     view's folder has the batch as a column; a batch without rows writes an empty file. Lines
     whose file or record names a type that no view wants are skipped. ``report`` collects counts;
     with it the stream's query needs to be the only one that reports to it.
@@ -124,26 +125,25 @@ def flatten_folder(
     types = list(dict.fromkeys(v.resource for v in views))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.persist(StorageLevel.DISK_ONLY)
+        layout = f"{out.rstrip('/')}/_lines/batch-{batch_id}"
+        write_by_type(batch, layout)
         counts = []
-        try:
-            for resource in types:
-                own = [v for v in views if v.resource == resource]
-                records = parsed(lines, resource)
-                if len(own) > 1:
-                    records = records.persist(StorageLevel.DISK_ONLY)
-                seen, written = Observation(f"records_{resource}"), []
-                counted = records.observe(seen, F.count(F.lit(1)).alias("n"))
-                for i, view in enumerate(own):
-                    rows = Observation(f"rows_{view_name(view)}")
-                    flat = view.apply(records if i else counted).observe(rows, F.count(F.lit(1)).alias("n"))
-                    write_parquet(flat, f"{out.rstrip('/')}/{view_name(view)}/batch={batch_id}")
-                    written.append((view_name(view), rows))
-                if len(own) > 1:
-                    records.unpersist()
-                counts += [(resource, name, rows.get["n"], seen.get["n"]) for name, rows in written]
-        finally:
-            lines.unpersist()
+        for resource in types:
+            own = [v for v in views if v.resource == resource]
+            records = read_routed(spark, layout, resource)
+            if len(own) > 1:
+                records = records.persist(StorageLevel.DISK_ONLY)
+            seen, written = Observation(f"records_{resource}"), []
+            counted = records.observe(seen, F.count(F.lit(1)).alias("n"))
+            for i, view in enumerate(own):
+                rows = Observation(f"rows_{view_name(view)}")
+                flat = view.apply(records if i else counted).observe(rows, F.count(F.lit(1)).alias("n"))
+                write_parquet(flat, f"{out.rstrip('/')}/{view_name(view)}/batch={batch_id}")
+                written.append((view_name(view), rows))
+            if len(own) > 1:
+                records.unpersist()
+            counts += [(resource, name, rows.get["n"], seen.get["n"]) for name, rows in written]
+        remove_folder(spark, layout)
         if report is not None:
             report.counts[batch_id] = counts
 

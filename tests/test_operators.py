@@ -51,6 +51,24 @@ def test_first_k_has_the_same_ranks(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_first_k_of_a_key_in_many_partitions(spark):
+    """A claim with rows in 200 partitions: its last task gets no more than k times the salts."""
+    rnd = random.Random(5)
+    data = [("hot", rnd.randrange(50), rnd.choice("abc"), None) for _ in range(8000)] + skewed(100)
+    df = spark.createDataFrame(data, "k string, n bigint, c string, p string").repartition(200)
+    order = [F.col("n"), F.col("c"), F.col("p")]
+    want = {k: v for k, v in expected_ranks(data).items() if k[-1] <= 25}
+    for salts in (1, 4):
+        got = first_k_per_key(df, ["k"], order, 25, "r", salts)
+        assert Counter(tuple(r) for r in got.select("k", "n", "c", "p", "r").collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("WindowGroupLimit") == 4
+    # what the second step gets of the key, where one step would get up to 25 rows of each of 200 tasks
+    parts = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(4)))
+    met = ranking._limited(parts, ["k", "__salt"], [c.asc_nulls_last() for c in order], 25, "r")
+    assert met.filter("k = 'hot'").count() == 100
+
+
 def test_first_per_key_and_pivot(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("a", None, "z"), ("b", None, "w")], "k string, n int, v string")
     assert rows(first_per_key(df, ["k"], [F.col("n")], ["v"])) == [{"k": "a", "v": "y"}, {"k": "b", "v": "w"}]
