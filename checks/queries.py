@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks import model_sql
 from checks.model_sql import STAMP, money_sum, sql_with
@@ -307,6 +308,16 @@ model(
     (select round({PAID}, 2) from medical) as paid_amount""",
 )
 
+model(
+    "headline_summary_with_measures",
+    lambda m: reports.headline_summary(m.spark, m.patients(), measures=m.measures()).select(
+        "patients",
+        F.expr("array_join(transform(quality_measures, q -> concat(q.measure_id, ' ', q.numerator, '/', q.denominator)), ';')").alias("list"),
+    ),
+    "patient_table measures",
+    """select (select count(*) from patient_table) as patients,
+    (select string_agg(measure_id || ' ' || numerator_sum || '/' || denominator_sum, ';' order by measure_id) from measures) as list""",
+)
 
 # -- the map step as one job ---------------------------------------------------------------
 

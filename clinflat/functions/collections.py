@@ -265,18 +265,24 @@ class Path:
             True,
         )
 
-    def select(self, fn: Callable[[Path], Path]) -> Path:
-        """Flat map; ``fn`` returns a path for each item."""
+    def select(self, fn: Callable[..., Path]) -> Path:
+        """Flat map; ``fn`` returns a path for each item. It may take (item) or (item, index)."""
+        with_index = fn.__code__.co_argcount == 2
         if not self.many:
-            return fn(self)
+            return fn(self, F.lit(0)) if with_index else fn(self)
         holder: dict[str, T.DataType] = {}
 
+        def noted(out: Path | Column) -> Column:
+            holder["type"] = out.dtype if isinstance(out, Path) else T.IntegerType()
+            return value_of(out)
+
         def body(x: Column) -> Column:
-            out = fn(Path(x, self.item_type))
-            holder["type"] = out.dtype
-            return out.col
+            return noted(fn(self._like(x, self.item_type, True)))
+
+        def indexed(x: Column, i: Column) -> Column:
+            return noted(fn(self._like(x, self.item_type, True), i))
 
-        mapped = F.transform(self.compact, body)
+        mapped = F.transform(self.compact, indexed if with_index else body)
         if isinstance(holder["type"], T.ArrayType):
             return Path(F.flatten(drop_nulls(mapped)), holder["type"], False)
         return Path(mapped, T.ArrayType(holder["type"]), False)
@@ -333,11 +339,14 @@ class Path:
     def empty(self) -> Column:
         return self.count() == 0
 
-    def all(self, condition: Callable[[Path], Any]) -> Column:
-        """True when the condition is true for every item, also when there is none."""
+    def all(self, condition: Callable[..., Any]) -> Column:
+        """True when the condition is true for every item, also when there is none. It may take
+        (item) or (item, index)."""
+        if condition.__code__.co_argcount == 2:
+            return self.where(condition).count() == self.count()
 
         def test(x: Column) -> Column:
-            return F.coalesce(_truth(condition(Path(x, self.item_type))), F.lit(False))
+            return F.coalesce(_truth(condition(self._like(x, self.item_type, True))), F.lit(False))
 
         return F.forall(self.array, test)
 

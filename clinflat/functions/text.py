@@ -65,7 +65,11 @@ def number_text(c: Column) -> Column:
     )
 
 
-def exact_sum(c: Column, places: int = 4) -> Column:
+#: Decimal places to which amounts are rounded before they are summed; a parameter of every plan that sums.
+AMOUNT_PLACES = 4
+
+
+def exact_sum(c: Column, places: int = AMOUNT_PLACES) -> Column:
     """Sum of amounts, each rounded to ``places`` decimals; up to 28 digits in all. Summing
     decimals keeps the result the same however the rows are spread over partitions, which a
     sum of doubles does not."""

@@ -70,8 +70,11 @@ def encounters(encounter: DataFrame, headers: DataFrame, run: RunInfo) -> DataFr
     costs = (
         headers.filter(F.col("claim_type").isin(*MEDICAL_CLAIM_TYPES) & F.col("encounter_id").isNotNull())
         .groupBy(F.col("encounter_id").alias("__cost_encounter"))
-        .agg(exact_sum(F.col("payment_amount")).alias("__paid"), exact_sum(F.col("total_submitted")).alias("__charged"))
-    )
+        .agg(
+            exact_sum(F.col("payment_amount"), run.amount_places).alias("__paid"),
+            exact_sum(F.col("total_submitted"), run.amount_places).alias("__charged"),
+        )
+    )
     enc = encounter_settings(encounter)
     return enc.join(never_broadcast(costs), F.col("id") == F.col("__cost_encounter"), "left").select(
         text("id", "encounter_id"),

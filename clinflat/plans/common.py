@@ -8,6 +8,8 @@ from datetime import UTC, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clinflat.functions.text import AMOUNT_PLACES
+
 
 def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None, microsecond=0)
@@ -20,6 +22,7 @@ class RunInfo:
     data_source: str = "synthea"
     ingest_datetime: datetime = field(default_factory=_now)
     default_days_supply: int = 30
+    amount_places: int = AMOUNT_PLACES
 
     def columns(self) -> list[Column]:
         stamp = F.lit(self.ingest_datetime.strftime("%Y-%m-%d %H:%M:%S"))

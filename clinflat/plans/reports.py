@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflat.functions.text import exact_sum
+from clinflat.functions.text import AMOUNT_PLACES, exact_sum
 
 # Row limits of the charts and the years of the cost report.
 TOP_BARS = 15
@@ -114,11 +114,12 @@ def cost_per_member_month(
     medical_claim: DataFrame,
     first_year: str = FIRST_YEAR,
     last_year: str = LAST_YEAR,
+    places: int = AMOUNT_PLACES,
 ) -> DataFrame:
     """Medical paid per member per month, by calendar year, from a table of member months. The
     year filter reaches both inputs, so rows of other years are dropped before they are grouped."""
     by_year = months.select(F.substr("year_month", F.lit(1), F.lit(4)).alias("year"), F.lit(1).alias("__months"))
-    return _cost_by_year(by_year, medical_claim, first_year, last_year)
+    return _cost_by_year(by_year, medical_claim, first_year, last_year, places)
 
 
 def cost_of_member_years(
@@ -126,14 +127,17 @@ def cost_of_member_years(
     medical_claim: DataFrame,
     first_year: str = FIRST_YEAR,
     last_year: str = LAST_YEAR,
+    places: int = AMOUNT_PLACES,
 ) -> DataFrame:
     """The rows of :func:`cost_per_member_month` from :func:`member_years`: months are counted by
     their bits, no row stands for one."""
     by_year = years.select(F.lpad(F.col("year").cast("string"), 4, "0").alias("year"), F.bit_count("months").alias("__months"))
-    return _cost_by_year(by_year, medical_claim, first_year, last_year)
+    return _cost_by_year(by_year, medical_claim, first_year, last_year, places)
 
 
-def _cost_by_year(by_year: DataFrame, medical_claim: DataFrame, first_year: str, last_year: str) -> DataFrame:
+def _cost_by_year(
+    by_year: DataFrame, medical_claim: DataFrame, first_year: str, last_year: str, places: int
+) -> DataFrame:
     member = (
         by_year.filter(F.col("year").between(first_year, last_year))
         .groupBy("year")
@@ -143,7 +147,7 @@ def _cost_by_year(by_year: DataFrame, medical_claim: DataFrame, first_year: str,
         medical_claim.select(F.year("claim_start_date").cast("string").alias("__year"), "paid_amount")
         .filter(F.col("__year").between(first_year, last_year))
         .groupBy("__year")
-        .agg(exact_sum(F.col("paid_amount")).alias("__paid"))
+        .agg(exact_sum(F.col("paid_amount"), places).alias("__paid"))
     )
     total = F.coalesce("__paid", F.lit(0.0))
     return member.join(paid, F.col("year") == F.col("__year"), "left").select(
@@ -172,8 +176,8 @@ def patient_count(patients: DataFrame) -> DataFrame:
     return patients.agg(F.count_distinct("person_id").alias("patients"))
 
 
-def medical_paid(claims: DataFrame) -> DataFrame:
-    return claims.agg(exact_sum(F.col("paid_amount")).alias("paid"))
+def medical_paid(claims: DataFrame, places: int = AMOUNT_PLACES) -> DataFrame:
+    return claims.agg(exact_sum(F.col("paid_amount"), places).alias("paid"))
 
 
 def encounter_count(encounters: DataFrame) -> DataFrame:
@@ -189,8 +193,8 @@ def cost_per_member_month_by_year(pmpm: DataFrame) -> DataFrame:
     return groups_in_order(pmpm, "year", ratio, "pmpm", TOP_SLICES)
 
 
-def paid_by_service_category(claims: DataFrame) -> DataFrame:
-    return top_groups(claims, "service_category_2", exact_sum(F.col("paid_amount")), "paid", TOP_BARS)
+def paid_by_service_category(claims: DataFrame, places: int = AMOUNT_PLACES) -> DataFrame:
+    return top_groups(claims, "service_category_2", exact_sum(F.col("paid_amount"), places), "paid", TOP_BARS)
 
 
 def _people() -> Column:
@@ -231,8 +235,12 @@ def headline_summary(
     encounter: DataFrame | None = None,
     medical_claim: DataFrame | None = None,
     pharmacy_claim: DataFrame | None = None,
+    measures: DataFrame | None = None,
+    places: int = AMOUNT_PLACES,
 ) -> DataFrame:
-    """One row: four counts and the paid total. A table that is not there gives null."""
+    """One row: four counts and the paid total; a table that is not there gives null. With
+    ``measures`` also quality_measures: the rows of :func:`measure_list` as an array, by id. Its
+    length is the number of measures, not that of persons."""
 
     def measured(df: DataFrame, name: str, value: Column) -> DataFrame:
         return df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("name"), "value")
@@ -248,7 +256,7 @@ def headline_summary(
         if df is not None
     ]
     if medical_claim is not None:
-        paid = F.round(exact_sum(F.col("paid_amount")), 2)
+        paid = F.round(exact_sum(F.col("paid_amount"), places), 2)
         totals = medical_claim.agg(rows.cast("double").alias("medical_claim_lines"), paid.alias("paid_amount"))
         names = ["medical_claim_lines", "paid_amount"]
         parts.append(totals.unpivot([], names, "name", "value"))
@@ -259,12 +267,19 @@ def headline_summary(
     def pick(name: str, dtype: str) -> Column:
         return F.max(F.when(F.col("name") == name, F.col("value"))).cast(dtype).alias(name)
 
+    listed = []
+    if measures is not None:
+        entry = F.struct("measure_id", "name", "denominator", "numerator", "exclusions", "rate")
+        entries = measure_list(measures).agg(F.sort_array(F.collect_list(entry)).alias("list"))
+        tall = tall.unionByName(entries, allowMissingColumns=True)
+        listed = [F.first("list", ignorenulls=True).alias("quality_measures")]
     return tall.agg(
         pick("patients", "bigint"),
         pick("encounters", "bigint"),
         pick("medical_claim_lines", "bigint"),
         pick("pharmacy_claim_lines", "bigint"),
         pick("paid_amount", "double"),
+        *listed,
     )
 
 

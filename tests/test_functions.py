@@ -181,3 +181,16 @@ def test_types(spark):
     assert value(spark, collection(1, kind="long").is_type("decimal")) is True
     assert value(spark, collection("2020").is_type("date")) is False
     assert value(spark, collection().is_type("string")) is None
+
+
+def test_index_in_select_and_all(spark):
+    df = spark.createDataFrame([(["a", None, "b", "c"],), ([],), (None,)], "a array<string>")
+    a = Path(F.col("a"), T.ArrayType(T.StringType()))
+    got = df.select(
+        a.select(lambda x, i: x.map(lambda c: F.concat(c, i), T.StringType())).col.alias("named"),
+        a.select(lambda x, i: i).col.alias("places"),
+        a.all(lambda x, i: (i < 2) | (x == "c")).alias("all"),
+        a.all(lambda x, i: i < 2).alias("two"),
+    ).collect()
+    assert got[0].named == ["a0", "b1", "c2"] and got[0].places == [0, 1, 2]
+    assert [(r.all, r.two) for r in got] == [(True, False), (True, True), (True, True)]

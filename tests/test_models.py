@@ -113,6 +113,26 @@ def test_summary_with_missing_tables(spark):
     ]
 
 
+def test_summary_lists_measures(spark):
+    kind = "measure_id string, measure_name string, denominator_sum bigint, numerator_sum bigint, exclusion_sum bigint, performance_rate double"
+    measures = spark.createDataFrame([("m2", "Two", 4, 1, 0, 0.25), ("m1", "One", 2, 1, 1, 0.5)], kind)
+    row = reports.headline_summary(spark, measures=measures).first()
+    assert [tuple(m) for m in row.quality_measures] == [("m1", "One", 2, 1, 1, 0.5), ("m2", "Two", 4, 1, 0, 0.25)]
+    assert row.patients is None
+    assert reports.headline_summary(spark, measures=measures.limit(0)).first().quality_measures == []
+
+
+def test_places_of_amounts(spark):
+    small = spark.createDataFrame([("e", "professional", 0.00004, 0.00004)] * 10, "encounter_id string, claim_type string, payment_amount double, total_submitted double")
+    claims_of = spark.createDataFrame([(0.00004, date(2016, 1, 1))] * 10, "paid_amount double, claim_start_date date")
+    assert reports.medical_paid(claims_of).first().paid == 0.0
+    assert reports.medical_paid(claims_of, places=10).first().paid == 0.0004
+    encounter = TABLES["encounter"].apply(spark.createDataFrame([], resource_schema("Encounter")))
+    encounter = spark.createDataFrame([("e",)], "id string").join(encounter, "id", "left")
+    run = RunInfo("test", datetime(2026, 1, 1), amount_places=10)
+    assert clinical.encounters(encounter, small, run).first().paid_amount == 0.0004
+
+
 def test_appointments_are_typed_and_empty(spark):
     got = clinical.appointments(spark)
     assert got.count() == 0
