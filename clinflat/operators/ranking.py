@@ -69,33 +69,35 @@ def rank_all(
     entry with a count, and large counts are spread out before they are repeated.
     """
     block = F.coalesce(F.shiftright(F.col(number).cast("bigint"), BLOCK_BITS), F.lit(2**63 - 1))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # A null key is a key like any other: two plain columns stand for it, so that the windows and
+    # the join below are by the same columns and share one partitioning.
+    plain = [f"__k_{k}" for k in keys] + [f"__null_{k}" for k in keys]
     counted = (
         df.groupBy(*keys, number, *ties)
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__block", block.cast("bigint"))
+        .select(
+            "*",
+            *[F.coalesce(F.col(k), F.lit("0").cast(types[k])).alias(f"__k_{k}") for k in keys],
+            *[F.col(k).isNull().alias(f"__null_{k}") for k in keys],
+        )
     )
     in_block = (
-        Window.partitionBy(*keys, "__block")
+        Window.partitionBy(*plain, "__block")
         .orderBy(*[F.col(c).asc_nulls_last() for c in [number, *ties]])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before_block = (
-        Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*plain).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    sizes = counted.groupBy(*keys, "__block").agg(F.sum("__n").alias("__size"))
+    sizes = counted.groupBy(*plain, "__block").agg(F.sum("__n").alias("__size"))
     offsets = sizes.select(
-        *[F.col(k).alias(f"__o_{k}") for k in keys],
-        F.col("__block").alias("__o___block"),
-        F.coalesce(F.sum("__size").over(before_block), F.lit(0)).alias("__before"),
+        *plain, "__block", F.coalesce(F.sum("__size").over(before_block), F.lit(0)).alias("__before")
     )
-    # Null-safe, so that a null key is a key like any other; it also keeps both sides of
-    # the join free of extra filters, so they share the counted rows.
-    matched = F.lit(True)
-    for k in [*keys, "__block"]:
-        matched = matched & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
     placed = counted.withColumn("__start", F.coalesce(F.sum("__n").over(in_block), F.lit(0)))
     columns = [*keys, number, *ties]
-    placed = placed.join(offsets, matched).select(
+    placed = placed.join(offsets, [*plain, "__block"]).select(
         *columns, "__n", (F.col("__start") + F.col("__before")).alias("__start")
     )
 
