@@ -18,10 +18,12 @@ from clinflat.operators.joins import never_broadcast
 #: Times that a source, and so a document, may be taken at most.
 MOST = 3
 WEIGHTS = (1, 2, 3)
-#: A prime above any number of blocks of one source here; multiples of it permute the numbers.
-STEPS = (2_147_483_647, 2_147_483_629, 2_147_483_587)
-#: Groups of one source's documents whose order is settled by itself.
+#: Rounds of the network that permutes block numbers, and walks until a number is one of the source's.
+ROUNDS = 4
+WALKS = 64
+#: Groups of one source's documents whose order is settled by itself: so many at least, and more for larger corpora.
 PARTS = 4096
+PART_ROWS = 1 << 16
 #: For whole copies: groups of documents of about one size, and what a fraction of a copy counts in.
 SIZE_PARTS = 64
 ONE = 1 << 30
@@ -48,12 +50,13 @@ def targets(sizes: DataFrame) -> DataFrame:
     by_limit = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
     before, after = Window.unboundedPreceding, Window.unboundedFollowing
     held = F.coalesce(F.sum("limit").over(by_limit.rowsBetween(before, -1)), F.lit(0.0))
-    open_weight = F.sum("weight").over(by_limit.rowsBetween(0, after))
+    # weights are whole numbers; a frame that ends with the last row would be summed anew for each row
+    whole = Window.orderBy(F.lit(1)).rowsBetween(before, after)
+    held_weight = F.coalesce(F.sum("weight").over(by_limit.rowsBetween(before, -1)), F.lit(0.0))
+    open_weight = F.sum("weight").over(whole) - held_weight
     leveled = weighed.select("*", ((F.col("all") - held) / open_weight).alias("level"))
     # the first source below its limit at its level settles the level of all; later rows' levels are lower
-    settled = F.max(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level"))).over(
-        Window.orderBy(F.lit(1)).rowsBetween(before, after)
-    )
+    settled = F.max(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level"))).over(whole)
     return leveled.select(
         "source",
         "source_size",
@@ -66,6 +69,31 @@ def _unit(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
 
 
+def permuted(number: Column, n: Column, *keys: Column) -> Column:
+    """A pseudorandom permutation of the numbers 0 to n - 1, one for each value of keys.
+
+    Numbers are the cells of a rectangle of about equal sides that holds n of them. A round adds
+    to one side a hash of the other, which can be undone, so that rounds permute the cells. What
+    falls on a cell of no number goes on until it meets one: less than a side's length of cells
+    are of none, so a walk ends within that, and within WALKS but for a chance of 64^-64.
+    """
+    side = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    other = F.floor((n + side - 1) / side).cast("long")
+
+    def once(x: Column) -> Column:
+        a, b = F.pmod(x, side), F.floor(x / side)
+        for k in range(ROUNDS):
+            if k % 2:
+                b = F.pmod(b + F.pmod(F.xxhash64(F.lit(k), a, *keys), other), other)
+            else:
+                a = F.pmod(a + F.pmod(F.xxhash64(F.lit(k), b, *keys), side), side)
+        return b * side + a
+
+    first = once(number)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first, lambda x, _: F.when(x < n, x).otherwise(once(x)))
+    return F.when(first < n, first).otherwise(walked)
+
+
 def _tasks(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -74,16 +102,17 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
     """Runs of slots (source, first, n): how often a source is drawn in each shard, numbered through the shards.
 
     The multinomial draw of a shard is stratified: slot i of n draws its number from
-    [i/n, (i+1)/n), which keeps the mean of the counts and makes them come near it. Shards are
-    few and small before their slots are drawn, so they are dealt over a fixed number of tasks.
+    [i/n, (i+1)/n), which keeps the mean of the counts and makes them come near it. So a source's
+    count follows from its limits and at most two draws, and no slot is drawn on its own.
     A target is as many slots as blocks of the source's mean length, as its last one is shorter.
     """
     before = Window.unboundedPreceding
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
     slots = F.col("target") * F.ceil(F.col("source_size") / block_words) / F.col("source_size")
     upto = target.where("target > 0").select("source", F.sum(slots).over(ordered.rowsBetween(before, 0)).alias("upto"))
-    cumulated = upto.agg(
-        F.sort_array(F.collect_list(F.struct("upto", F.col("source").isNull().alias("none"), "source"))).alias("s"),
+    spans = upto.select("source", "upto", F.lag("upto", 1, 0.0).over(ordered).alias("low"))
+    cumulated = spans.agg(
+        F.sort_array(F.collect_list(F.struct("low", "upto", F.col("source").isNull().alias("none"), "source"))).alias("s"),
         F.max("upto").alias("all"),
     )
     shards = cumulated.select(
@@ -95,21 +124,21 @@ def draws(spark, target: DataFrame, block_words: int, shard_slots: int, seed: in
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / shard_slots))).alias("shard")
     ).repartition(_tasks(spark), F.col("shard"))
     n = F.least(F.lit(shard_slots).cast("long"), F.col("slots") - F.col("shard") * shard_slots)
-    slots = shards.select("s", "all", "shard", n.alias("n")).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")
-    )
-    drawn = slots.select(
-        "shard",
-        "s",
-        ((F.col("i") + _unit(F.lit(seed), F.col("shard"), F.col("i"))) / F.col("n") * F.col("all")).alias("u"),
-    )
-    # the first source whose running sum is above the number
-    hit = F.get(F.filter(F.col("s"), lambda x: x["upto"] > F.col("u")), F.lit(0))
-    counts = (
-        drawn.select("shard", F.coalesce(hit, F.element_at("s", -1)).alias("hit"))
-        .groupBy("shard", F.col("hit.source").alias("source"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    # a source holds the numbers from x to y: all draws whose parts lie between, and of the two parts
+    # that x and y cut, those whose draw falls on its side
+    each = shards.select("shard", "all", n.alias("n"), F.explode("s").alias("s")).select(
+        "shard", "n", "s.source", *[(F.col(f"s.{c}") / F.col("all") * F.col("n")).alias(name) for c, name in (("low", "x"), ("upto", "y"))]
     )
+    each = each.select("*", F.floor("x").alias("i"), F.floor("y").alias("j"))
+
+    def draw(part: str) -> Column:
+        return _unit(F.lit(seed), F.col("shard"), F.col(part))
+
+    above, below = draw("i") >= F.col("x") - F.col("i"), (F.col("j") < F.col("n")) & (draw("j") < F.col("y") - F.col("j"))
+    one = F.when(above & below, 1).otherwise(0)
+    several = F.col("j") - F.col("i") - 1 + above.cast("int") + below.cast("int")
+    count = F.when(F.col("i") == F.col("j"), one).otherwise(several).cast("long")
+    counts = each.select("shard", "source", count.alias("n")).where("n > 0")
     running = F.sum("n").over(Window.partitionBy("source").orderBy("shard").rowsBetween(before, 0))
     return counts.select("source", (running - F.col("n")).alias("first"), "n")
 
@@ -128,7 +157,8 @@ def _taken(docs: DataFrame, id_col: str, text_col: str, block_words: int, shard_
     target = checkpointed(targets(sizes))
 
     # where a document starts among its source's words: parts of a source are ordered alone
-    parts = sizes.where("size > 0").select("*", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part"))
+    n_parts = max(PARTS, -(-sizes.count() // PART_ROWS))
+    parts = sizes.where("size > 0").select("*", F.pmod(F.xxhash64("doc_id"), F.lit(n_parts)).alias("part"))
     before = Window.unboundedPreceding
     inside = Window.partitionBy("source", "part").orderBy("doc_id", "size").rowsBetween(before, 0)
     of_part = parts.groupBy("source", "part").agg(F.sum("size").alias("words"))
@@ -154,11 +184,7 @@ def _taken(docs: DataFrame, id_col: str, text_col: str, block_words: int, shard_
         ).alias("words"),
     )
 
-    # slot j of a source takes block (a * j + b) mod n, with a prime above n
     n_blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    step = F.get(
-        F.array(*[F.lit(s) for s in STEPS]), F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(len(STEPS))).cast("int")
-    )
     # runs meet their source while they are few; their slots are dealt over many tasks
     spark = docs.sparkSession
     runs = draws(spark, target, block_words, shard_slots, seed)
@@ -166,8 +192,9 @@ def _taken(docs: DataFrame, id_col: str, text_col: str, block_words: int, shard_
     runs = runs.join(known, F.col("source").eqNullSafe(F.col("s2"))).repartition(_tasks(spark), "source", "first")
     slot = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")
     drawn = runs.select("source", "blocks", slot).where(F.col("slot") < MOST * F.col("blocks"))
-    shift = F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.col("blocks"))
-    block = F.pmod((F.col("slot") % F.col("blocks")) * F.pmod(step, F.col("blocks")) + shift, F.col("blocks"))
+    # each round through a source's blocks has an order of its own
+    blocks_of, lap = F.col("blocks"), F.floor(F.col("slot") / F.col("blocks"))
+    block = permuted(F.col("slot") % blocks_of, blocks_of, F.lit(seed), F.col("source"), lap)
     times = drawn.groupBy("source", block.alias("block")).agg(F.count(F.lit(1)).alias("times"))
 
     names = {"source": "s2", "block": "b2"}

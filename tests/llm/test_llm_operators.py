@@ -299,6 +299,38 @@ def test_mixing(docs, rows, empty):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 331, 1000, 4099, 49_981])
+def test_permutation_of_blocks(spark, n):
+    n_col = F.lit(n).cast("long")
+    rows = spark.range(n).select(
+        mixing.permuted(F.col("id"), n_col, F.lit(1), F.lit("s")).alias("a"), mixing.permuted(F.col("id"), n_col, F.lit(1), F.lit(None)).alias("b")
+    ).collect()
+    for found in ([r.a for r in rows], [r.b for r in rows]):
+        assert sorted(found) == list(range(n))
+        if n > 300:
+            # a stretch of slots is no stretch of blocks
+            steps = Counter(y - x for x, y in zip(found, found[1:]))
+            assert steps.most_common(1)[0][1] < 0.05 * n
+            assert sum(f < n / 2 for f in found[: n // 4]) == pytest.approx(n / 8, rel=0.35)
+
+
+def test_permutation_of_very_many_blocks(spark):
+    n = 100_000_000_007
+    numbers = [0, 1, 2, n // 2, n - 2, n - 1]
+    rows = spark.createDataFrame([(x,) for x in numbers], "x long")
+    found = [r[0] for r in rows.select(mixing.permuted(F.col("x"), F.lit(n), F.lit("s"))).collect()]
+    assert len(set(found)) == len(numbers) and all(0 <= f < n for f in found)
+
+
+def test_mixing_many_sources(spark):
+    docs = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("host"), F.col("id")).alias("source"), F.repeat(F.lit("w "), 20).alias("text")
+    )
+    docs = docs.unionByName(spark.range(300).select((F.col("id") + 200_000).alias("doc_id"), F.lit("big").alias("source"), F.repeat(F.lit("w "), 900).alias("text")))
+    taken = mixing.mix(docs).agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).first()
+    assert taken.n == 100_300 and taken.taken == pytest.approx(taken.size, rel=0.06)
+
+
 def test_mixing_tiny_sources(spark):
     rows = [(k, "w " * 10, None, f"t{k:02}", 0, "x", 0) for k in range(30)]
     rows += [(100 + k, "w " * 500, None, "z", 0, "x", 0) for k in range(20)]
