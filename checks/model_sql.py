@@ -1,5 +1,5 @@
-"""SQL of the models, for DuckDB: claims, spans, observations and medications from the given
-tables themselves, the others over the flat SQL of :mod:`checks.records`."""
+"""SQL of the models, for DuckDB: most from the given tables themselves, as facts of their rows,
+the others (patients, immunizations, practitioners) over the flat SQL of :mod:`checks.records`."""
 
 from __future__ import annotations
 
@@ -81,11 +81,11 @@ CODE_MAP = """select snomed_code, split_part(best, '|', 1) as icd10_code, split_
 PACKAGE_MAP = """select rxnorm_code, lpad(arg_min(ndc11, (active <> 'true', ndc11)), 11, '0') as ndc_code from (
   select unnest([drug_id, clinical_drug_id]) as rxnorm_code, ndc11, active from drug_packages where ndc11 is not null) group by 1"""
 
-DX = """select d.eob_id as claim_id, d.sequence, d.on_admission_code,
-  coalesce(replace(case when d.diagnosis_system = 'http://hl7.org/fhir/sid/icd-10-cm' then d.diagnosis_code end, '.', ''),
-           replace(case when c.code_system = 'http://hl7.org/fhir/sid/icd-10-cm' then c.code_code end, '.', ''), m.icd10_code) as icd10_code
-from explanation_of_benefit_diagnosis d left join condition c on c.id = d.condition_id
-left join code_map m on c.code_system = 'http://snomed.info/sct' and m.snomed_code = c.code_code"""
+DX = """select 'clm-' || l_orderkey as claim_id, cast(l_linenumber as bigint) * 10 as sequence, if(l_suppkey % 2 = 0, 'Y', null) as on_admission_code,
+  if(p_partkey % 10 = 0, 'E11' || (p_partkey % 90), (select icd10_code from code_map where snomed_code = cast(p_partkey % 700 as varchar))) as icd10_code
+from lineitem left join part on p_partkey = l_partkey
+union all
+select 'clm-' || l_orderkey, l_linenumber * 10 + 1, 'N', 'J45' || (l_partkey % 30) from lineitem where l_suppkey % 3 = 0"""
 
 RANKED = """select claim_id, icd10_code, on_admission_code,
   row_number() over (partition by claim_id order by sequence, icd10_code, on_admission_code nulls last) as diagnosis_rank
@@ -120,27 +120,34 @@ PATIENT_TABLE = f"""select id as person_id, id as patient_id, {name_only("given_
   city, state, postal_code as zip_code, {nothing("county")}, cast(latitude as float) as latitude,
   cast(longitude as float) as longitude, phone, email, {RUN_COLUMNS} from patient"""
 
-ENCOUNTER_TABLE = f"""select s.id as encounter_id, s.patient_id as person_id, s.patient_id, s.encounter_type,
-  {day("s.period_start")} as encounter_start_date, {day("s.period_end")} as encounter_end_date, s.admit_source_code,
-  {nothing("admit_type_code facility_npi drg_code_type drg_code")}, s.discharge_disposition_code,
-  s.practitioner_id as attending_provider_id, {name_only("s.practitioner_name")} as attending_provider_name,
-  coalesce(s.location_name, s.service_provider_name) as facility_name, {system_name("s.reason_system")} as primary_diagnosis_code_type,
-  s.reason_code as primary_diagnosis_code, k.paid as paid_amount, k.paid as allowed_amount, k.charged as charge_amount, {RUN_COLUMNS}
-from setting s left join (select encounter_id, {money_sum("payment_amount")} as paid, {money_sum("total_submitted")} as charged
-  from claim where claim_type <> 'pharmacy' group by encounter_id) k on k.encounter_id = s.id"""
-
-CONDITION_TABLE = f"""select id as source_condition_id, patient_id as person_id, patient_id, encounter_id,
-  coalesce({day("recorded_date")}, {day("onset_datetime")}) as recorded_date, {day("onset_datetime")} as onset_date,
-  {day("abatement_datetime")} as resolved_date, clinical_status as status,
-  if(category = 'problem-list-item', 'problem', 'discharge diagnosis') as condition_type,
-  {system_name("code_system")} as code_system, code_code as source_code, code_display as source_description,
-  cast(null as integer) as condition_rank, {nothing("present_on_admit_code")}, {RUN_COLUMNS}
-from condition where verification_status is distinct from 'entered-in-error'"""
-
-PROCEDURE_TABLE = f"""select id as source_procedure_id, patient_id as person_id, patient_id, encounter_id,
-  {day("performed_start")} as procedure_date, {system_name("code_system")} as code_system, code_code as source_code,
-  code_display as source_description, {nothing("modifier_1 modifier_2 modifier_3 modifier_4 modifier_5")}, practitioner_id, {RUN_COLUMNS}
-from procedure where coalesce(status, '') not in ('not-done', 'entered-in-error')"""
+# An order is a visit; it has costs where its own claim is insured, no pharmacy claim, and names the visit itself or by a line.
+ENCOUNTER_TABLE = f"""select 'enc-' || o_orderkey as encounter_id, cast(o_custkey as varchar) as person_id, cast(o_custkey as varchar) as patient_id,
+  encounter_type, began as encounter_start_date, began + cast(o_orderkey % 5 as int) as encounter_end_date,
+  if(o_orderkey % 5 = 0, 'emd', null) as admit_source_code, if(o_orderkey % 3 = 0, null, 'home') as discharge_disposition_code,
+  cast(o_orderkey % 120 as varchar) as attending_provider_id, 'Dr. Name' as attending_provider_name,
+  if(o_orderkey % 6 = 0, 'Provider', 'Loc ' || (o_orderkey % 100)) as facility_name,
+  if(o_orderkey % 3 = 0, 'snomed-ct', null) as primary_diagnosis_code_type, if(o_orderkey % 3 = 0, cast(o_orderkey % 700 as varchar), null) as primary_diagnosis_code,
+  paid as paid_amount, paid as allowed_amount, case when paid is null or o_orderkey % 16 = 8 then null when o_orderkey % 16 = 0 then 1.5 else o_totalprice end as charge_amount,
+  {nothing("admit_type_code facility_npi drg_code_type drg_code")}, {RUN_COLUMNS}
+from (select orders.*, cast(o_orderdate as date) as began,
+        if(o_orderkey % 3 < 2 and o_custkey % 5 <> 2 and o_orderkey % 23 > 0 and (o_orderkey % 10 > 0 or o_orderkey in (select l_orderkey from lineitem)),
+           o_totalprice / 2, null) as paid from orders) join visit using (o_orderkey)"""
+
+# A part is a condition, every 13th in error; the day it began is known for seven of nine.
+CONDITION_TABLE = f"""select 'cond-' || p_partkey as source_condition_id, cast(p_partkey % 150 as varchar) as person_id, cast(p_partkey % 150 as varchar) as patient_id,
+  'enc-' || p_partkey as encounter_id, if(p_partkey % 4 > 0, make_date(2002, 1, 10 + p_partkey % 10), began) as recorded_date, began as onset_date,
+  if(p_partkey % 5 = 0, date '2003-02-03', null) as resolved_date, 'active' as status, ['problem', 'discharge diagnosis', 'discharge diagnosis'][p_partkey % 3 + 1] as condition_type,
+  if(p_partkey % 10 = 0, 'icd-10-cm', 'snomed-ct') as code_system, if(p_partkey % 10 = 0, 'E11.' || (p_partkey % 90), cast(p_partkey % 700 as varchar)) as source_code,
+  [p_name, p_type, p_name, null, p_name, p_type][p_partkey % 6 + 1] as source_description, cast(null as integer) as condition_rank,
+  {nothing("present_on_admit_code")}, {RUN_COLUMNS}
+from (select *, if(p_partkey % 9 < 2, null, make_date(2001, 3, 1 + p_partkey % 9)) as began from part where p_partkey % 13 > 0)"""
+
+PROCEDURE_TABLE = f"""select 'proc-' || o_orderkey as source_procedure_id, cast(o_custkey as varchar) as person_id, cast(o_custkey as varchar) as patient_id,
+  if(o_orderkey % 9 = 0, null, 'enc-' || o_orderkey) as encounter_id, cast(o_orderdate as date) as procedure_date,
+  ['hcpcs', 'snomed-ct', 'urn:other'][o_orderkey % 3 + 1] as code_system, cast(o_orderkey % 300 as varchar) as source_code,
+  'Procedure ' || (o_orderkey % 300) as source_description, cast(o_orderkey % 120 as varchar) as practitioner_id,
+  {nothing("modifier_1 modifier_2 modifier_3 modifier_4 modifier_5")}, {RUN_COLUMNS}
+from orders where o_orderkey % 11 > 0 and o_orderkey % 17 > 0"""
 
 # An event is one observation, but a purchase, which is two or three components.
 OBSERVATION_TABLE = f"""select 'obs-' || event_id || coalesce('-' || o.part, '') as observation_id, cast(user_id as varchar) as person_id,
@@ -160,19 +167,19 @@ from (select *, unnest(case when event_type = 'purchase' then list_slice([
     'unit': case when event_type = 'view' then if(event_id % 3 = 0, 'mg_code', 'mg') end}}] end) as o
   from events where event_type <> 'error')"""
 
-LAB_TABLE = f"""select o.id as lab_result_id, o.patient_id as person_id, o.patient_id, o.encounter_id,
-  r.best[1] as accession_number, {system_name("r.best[2]")} as source_order_type, r.best[3] as source_order_code,
-  r.best[4] as source_order_description, {system_name("o.code_system")} as source_component_type, o.code_code as source_component_code,
-  o.code_display as source_component_description, o.status,
-  coalesce(cast(o.value_quantity as varchar), o.value_code_display, o.value_string) as result,
-  {moment("o.effective_datetime")} as result_datetime, {moment("o.effective_datetime")} as collection_datetime, o.value_unit as source_units,
-  {nothing("normalized_units normalized_reference_range_low normalized_reference_range_high normalized_abnormal_code specimen ordering_practitioner_id")},
-  cast(o.reference_range_low as varchar) as source_reference_range_low, cast(o.reference_range_high as varchar) as source_reference_range_high,
-  o.interpretation_code as source_abnormal_code, {RUN_COLUMNS}
-from observation o left join (
-  select observation_id, min([diagnostic_report_id, code_system, code_code, code_display]) as best
-  from diagnostic_report_result group by observation_id) r on r.observation_id = o.id
-where o.category = 'laboratory'"""
+# An error is a laboratory result; its panel is its own report, or the one before if that lists it too and comes first as text.
+LAB_TABLE = f"""select 'obs-' || e.event_id as lab_result_id, cast(e.user_id as varchar) as person_id, cast(e.user_id as varchar) as patient_id,
+  'enc-' || (e.event_id % 100) as encounter_id, 'rep-' || panel as accession_number, if(panel % 5 = 0, 'urn:other', 'loinc') as source_order_type,
+  cast(panel % 12 as varchar) as source_order_code, 'Panel ' || (panel % 12) as source_order_description, 'loinc' as source_component_type,
+  cast(e.event_id % 60 as varchar) as source_component_code, 'Test ' || (e.event_id % 60) as source_component_description, 'final' as status,
+  if(e.event_id % 2 = 0, cast(e.value as varchar), 'Positive') as result, taken as result_datetime, taken as collection_datetime,
+  case e.event_id % 6 when 0 then 'mg_code' when 2 then 'mg' when 4 then 'mg' end as source_units, if(e.event_id % 4 = 0, 'H', null) as source_abnormal_code,
+  if(e.event_id % 3 = 0, cast(cast(e.event_id % 50 as double) as varchar), null) as source_reference_range_low,
+  if(e.event_id % 3 = 0, cast(e.event_id % 50 + 100.5::double as varchar), null) as source_reference_range_high,
+  {nothing("normalized_units normalized_reference_range_low normalized_reference_range_high normalized_abnormal_code specimen ordering_practitioner_id")}, {RUN_COLUMNS}
+from (select events.*, if(event_id % 20 = 0, null, cast(date_trunc('second', ts) as timestamp)) as taken,
+        if(event_id % 3 = 1 and 'rep-' || (event_id - 1) < 'rep-' || event_id and event_id - 1 in (select event_id from events), event_id - 1, event_id) as panel
+      from events where event_type = 'error') e"""
 
 # Even orders name their drug, odd ones a part.
 MEDICATION_TABLE = f"""select 'mr-' || o_orderkey as medication_id, cast(o_custkey as varchar) as person_id, cast(o_custkey as varchar) as patient_id,
@@ -191,48 +198,53 @@ IMMUNIZATION_TABLE = f"""select id as immunization_id, patient_id as person_id,
   {day("occurrence_datetime")} as occurrence_date, cast(dose_quantity as varchar) as source_dose, lot_number, site_code as body_site,
   route_code as route, location_id, practitioner_id, {RUN_COLUMNS} from immunization"""
 
-LOCATION_TABLE = f"""select l.id as location_id, o.npi, l.name, {nothing("facility_type")}, o.name as parent_organization,
-  l.address_line as address, l.city, l.state, l.postal_code as zip_code, cast(l.latitude as float) as latitude,
-  cast(l.longitude as float) as longitude, {RUN_COLUMNS}
-from location l left join organization o
-  on o.id = l.managing_organization_id or o.source_identifier = l.managing_organization_identifier"""
+# A supplier belongs to its nation, to the next one, to both, or to none.
+LOCATION_TABLE = f"""select 'loc-' || s_suppkey as location_id, if(n_nationkey % 4 > 0, '9' || n_nationkey, null) as npi, s_name as name, n_name as parent_organization,
+  '1 ' || s_name || ', Floor 1' as address, 'City' as city, 'ST' as state, '1' as zip_code, cast(s_acctbal / 64 as float) as latitude,
+  cast(s_acctbal / 128 as float) as longitude, {nothing("facility_type")}, {RUN_COLUMNS}
+from (select *, unnest(if(len(owners) = 0, [null], owners)) as owner from (select supplier.*, list_distinct(case when s_suppkey % 10 = 9 then []
+        when s_suppkey % 2 = 1 then [(s_nationkey + 1) % 25] when s_suppkey % 12 = 0 then [s_nationkey, (s_nationkey + 1) % 25] else [s_nationkey] end) as owners from supplier))
+left join nation on n_nationkey = owner"""
 
 PRACTITIONER_TABLE = f"""select p.id as practitioner_id, p.npi, {name_only("p.given_name")} as first_name, {name_only("p.family_name")} as last_name,
   r.best[2] as practice_affiliation, lower(r.best[1]) as specialty, {nothing("sub_specialty")}, {RUN_COLUMNS}
 from practitioner p left join (select practitioner_npi, min([specialty_display, organization_name]) as best
   from practitioner_role group by practitioner_npi) r on r.practitioner_npi = p.npi"""
 
-ELIGIBILITY = f"""select s.person_id, s.person_id as member_id, s.person_id as subscriber_id, 'self' as subscriber_relation,
-  s.enrollment_start_date, s.enrollment_end_date, s.payer, s.payer_type, s.plan,
-  p.first_name, p.middle_name, p.last_name, p.name_suffix, p.social_security_number, p.address, p.city, p.state, p.zip_code, p.phone,
-  p.email, p.ethnicity, p.sex, p.race, p.birth_date, p.death_date, p.death_flag,
+ELIGIBILITY = f"""select person_id, person_id as member_id, person_id as subscriber_id, 'self' as subscriber_relation, spans.* exclude (person_id),
+  if(c_custkey % 11 > 0, 'Ann', ['Olive', 'Nicky'][c_custkey % 2 + 1]) as first_name, if(c_custkey % 11 > 0 and c_custkey % 4 > 0, 'Bea', null) as middle_name,
+  if(c_custkey % 11 > 0, rtrim(c_name, '0123456789'), ['Old', 'Nick'][c_custkey % 2 + 1]) as last_name, if(c_custkey % 11 > 0 and c_custkey % 9 = 0, 'PhD', null) as name_suffix,
+  '999-' || c_custkey as social_security_number,
+  nullif(concat_ws(', ', if(c_custkey % 6 = 0, null, c_custkey || ' Main St'), if(c_custkey % 12 > 6, 'Apt 2', null)), '') as address,
+  c_mktsegment as city, 'S' || c_nationkey as state, lpad(cast(c_custkey as varchar), 5, '0') as zip_code, '555-' || c_custkey as phone,
+  if(c_custkey % 2 = 0, c_custkey || '@x.org', null) as email, ['Hispanic or Latino', 'Not Hispanic or Latino', 'unknown'][c_nationkey % 3 + 1] as ethnicity,
+  ['male', 'female', 'unknown'][c_custkey % 3 + 1] as sex,
+  ['white', 'black or african american', 'asian', 'american indian or alaska native', 'native hawaiian or other pacific islander', 'other race', 'unknown'][c_nationkey % 7 + 1] as race,
+  if(c_custkey % 50 = 0, null, date '1940-01-01' + cast(c_custkey % 20000 as int)) as birth_date, if(c_custkey % 10 = 0, date '2000-06-15', null) as death_date,
+  cast(c_custkey % 10 < 2 as integer) as death_flag, cast(payer = 'Medicaid' as integer) as medicaid_indicator, 'fhir:ExplanationOfBenefit' as file_name,
   {nothing("original_reason_entitlement_code dual_status_code medicare_status_code enrollment_status part_d_raf_type metal_level group_id group_name")},
   {nothing("hospice_flag institutional_snp_flag long_term_institutional_flag low_income_subsidy_indicator csr_indicator enrollment_duration_months esrd_status transplant_duration_months", "integer")},
-  cast(s.payer = 'Medicaid' as integer) as medicaid_indicator, 'fhir:ExplanationOfBenefit' as file_name,
   cast(null as date) as file_date, {RUN_COLUMNS}
-from spans s join patient_table p on p.person_id = s.person_id"""
-
-MEDICAL = f"""select c.claim_id, cast(i.sequence as integer) as claim_line_number, c.claim_type, c.person_id, c.person_id as member_id, c.payer, c.plan,
-  c.claim_start_date, c.claim_end_date, {day("i.service_start")} as claim_line_start_date,
-  coalesce({day("i.service_end")}, {day("i.service_start")}) as claim_line_end_date,
-  if(c.stay, c.encounter_start_date, null) as admission_date, if(c.stay, c.encounter_end_date, null) as discharge_date,
+from spans join customer on person_id = cast(c_custkey as varchar)"""
+
+# Lines of the other two thirds of the orders, each standing for one to three claim lines.
+MEDICAL = f"""select claim_id, cast(l_linenumber * 10 + part as integer) as claim_line_number, claim_type, person_id, person_id as member_id, payer, plan,
+  claim_start_date, claim_end_date, cast(l_shipdate as date) as claim_line_start_date, cast(l_shipdate as date) + cast(l_linenumber % 2 * 2 as int) as claim_line_end_date,
+  if(stay, encounter_start_date, null) as admission_date, if(stay, encounter_end_date, null) as discharge_date, if(stay, 'home', null) as discharge_disposition_code,
+  if(l_orderkey % 3 = 0, place_of_service_code, null) as place_of_service_code, if(l_orderkey % 3 = 1, bill_type_code, null) as bill_type_code,
+  if(l_orderkey % 3 = 1, revenue_center_code, null) as revenue_center_code, l_quantity / 2 as service_unit_quantity,
+  if((l_suppkey + part) % 2 = 0, cast((l_partkey + part) % 900 as varchar), null) as hcpcs_code, rendering_npi, rendering_npi as billing_npi, paid_date,
+  cast(if(l_suppkey % 7 = 0, 0, l_extendedprice - l_quantity - part) as float) as paid_amount, cast(l_extendedprice - l_quantity as float) as allowed_amount,
+  cast(l_extendedprice + if(l_suppkey % 3 = 0, 0, 1) as float) as charge_amount, cast(l_quantity as float) as coinsurance_amount,
+  cast(null as float) as copayment_amount, cast(if(l_suppkey % 5 = 0, l_quantity / 4, null) as float) as deductible_amount,
+  cast(l_extendedprice - l_quantity as float) as total_cost_amount, if(codes.claim_id is null, null, 'icd-10-cm') as diagnosis_code_type, codes.* exclude (claim_id),
   {nothing("admit_source_code admit_type_code drg_code_type drg_code rendering_tin billing_tin facility_npi procedure_code_type")},
   {nothing("hcpcs_modifier_1 hcpcs_modifier_2 hcpcs_modifier_3 hcpcs_modifier_4 hcpcs_modifier_5")},
-  if(c.stay, coalesce(c.discharge_disposition_code, '01'), null) as discharge_disposition_code,
-  if(c.claim_type = 'professional', c.place_of_service_code, null) as place_of_service_code,
-  if(c.claim_type = 'institutional', c.bill_type_code, null) as bill_type_code,
-  if(c.claim_type = 'institutional', c.revenue_center_code, null) as revenue_center_code,
-  i.quantity as service_unit_quantity, if(i.product_system = '{codes.CPT}', i.product_code, null) as hcpcs_code,
-  c.rendering_npi, c.rendering_npi as billing_npi, c.paid_date, cast(coalesce(i.paid_amount, 0) as float) as paid_amount,
-  cast(coalesce(i.allowed_amount, 0) as float) as allowed_amount, cast(coalesce(i.submitted_amount, i.net_amount, 0) as float) as charge_amount,
-  cast(i.coinsurance_amount as float) as coinsurance_amount, cast(null as float) as copayment_amount,
-  cast(i.deductible_amount as float) as deductible_amount, cast(coalesce(i.allowed_amount, 0) as float) as total_cost_amount,
-  if(x.claim_id is null, null, 'icd-10-cm') as diagnosis_code_type, x.* exclude (claim_id),
   {nothing(" ".join(f"procedure_code_{k}" for k in SLOTS))}, {nothing(" ".join(f"procedure_date_{k}" for k in SLOTS), "date")},
   1 as in_network_flag, 'fhir:ExplanationOfBenefit' as file_name, cast(null as date) as file_date, {RUN_COLUMNS}
-from (select *, claim_type = 'institutional' and class_code is not distinct from 'IMP' as stay from claim where claim_type <> 'pharmacy') c
-join explanation_of_benefit_item i on i.eob_id = c.claim_id and i.claim_type <> 'pharmacy'
-left join dx_columns x on x.claim_id = c.claim_id"""
+from (select *, unnest(range(l_partkey % 3 + 1)) as part from lineitem where l_orderkey % 3 < 2)
+join (select *, claim_type = 'institutional' and class_code = 'IMP' as stay, claim_id as of_claim from claim) c on of_claim = 'clm-' || l_orderkey
+left join dx_columns codes using (claim_id)"""
 
 # Every third order is filled at a pharmacy; each of its lines stands for one to three claim lines.
 PHARMACY = f"""select claim_id, cast(l_linenumber * 10 + part as integer) as claim_line_number, person_id, person_id as member_id, payer, plan,
@@ -294,14 +306,13 @@ USES = {
     "claim": ["visit"],
     "code_map": ["diagnosis_map"],
     "package_map": ["drug_packages"],
-    "dx": ["explanation_of_benefit_diagnosis", "condition", "code_map"],
+    "dx": ["code_map"],
     "ranked": ["dx"],
     "dx_columns": ["ranked"],
     "spans": ["claim"],
     "patient_table": ["patient"],
-    "encounter_table": ["setting", "claim"],
-    "condition_table": ["condition"],
-    "medical": ["claim", "explanation_of_benefit_item", "dx_columns"],
+    "encounter_table": ["visit"],
+    "medical": ["claim", "dx_columns"],
     "pharmacy": ["claim", "package_map"],
     "months": ["spans"],
     "pmpm": ["months", "medical"],

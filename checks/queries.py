@@ -183,16 +183,16 @@ model("enrolment_spans", Models.spans, "spans", "select * from spans")
 model("patient", Models.patients, "patient_table", "select * from patient_table")
 model("encounter", Models.encounters, "encounter_table", "select * from encounter_table")
 model("condition", Models.conditions, "condition_table", "select * from condition_table")
-model("procedure", Models.procedures, "procedure", model_sql.PROCEDURE_TABLE)
+model("procedure", Models.procedures, "", model_sql.PROCEDURE_TABLE)
 model("observation", Models.observations, "", model_sql.OBSERVATION_TABLE)
-model("lab_result", Models.labs, "observation diagnostic_report_result", model_sql.LAB_TABLE)
+model("lab_result", Models.labs, "", model_sql.LAB_TABLE)
 model(
     "medication", Models.medications, "package_map", model_sql.MEDICATION_TABLE
 )
 model("immunization", Models.immunizations, "immunization", model_sql.IMMUNIZATION_TABLE)
-model("location", Models.locations, "location organization", model_sql.LOCATION_TABLE)
+model("location", Models.locations, "", model_sql.LOCATION_TABLE)
 model("practitioner", Models.practitioners, "practitioner practitioner_role", model_sql.PRACTITIONER_TABLE)
-model("eligibility", Models.eligibility, "spans patient_table", model_sql.ELIGIBILITY)
+model("eligibility", Models.eligibility, "spans", model_sql.ELIGIBILITY)
 model("medical_claim", Models.medical, "medical", "select * from medical")
 model("pharmacy_claim", Models.pharmacy, "pharmacy", "select * from pharmacy")
 
@@ -360,8 +360,8 @@ JOB_BODIES = {
     "pharmacy_claim": "select * from pharmacy",
 }
 JOB_USES = (
-    "patient_table encounter_table condition_table procedure observation diagnostic_report_result package_map "
-    "immunization location organization practitioner practitioner_role spans medical pharmacy"
+    "patient_table encounter_table condition_table package_map immunization practitioner practitioner_role "
+    "spans medical pharmacy"
 )
 _counts = [f"select '{n}' as name, (select count(*) from ({b})) as rows" for n, b in JOB_BODIES.items()]
 register(
