@@ -33,7 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder; Spark removes it once it is out of use."""
+    """df, computed once and kept in the shared folder. Its files stay there for the owner of the folder
+    to clear, unless spark.cleaner.referenceTracking.cleanCheckpoints lets Spark remove them."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
