@@ -431,6 +431,28 @@ view(
 )
 
 
+view(
+    "single_values_and_patterns",
+    [
+        Select([
+            Col("id", "id"),
+            Col("one_item", lambda n: n["items"]["amount"].has_value(), "boolean"),
+            Col("record", lambda n: n["items"].has_value(), "boolean"),
+            Col("has_words", lambda n: n["valueString"].has_value(), "boolean"),
+            Col("urgent", lambda n: n["valueString"].col.rlike("[12]-[UH]"), "boolean"),
+        ])
+    ],
+    """select cast(o_orderkey as string) as id, o_orderkey % 4 = 1 as one_item, false as record, o_orderkey % 3 = 1 as has_words,
+    if(o_orderkey % 3 = 1, regexp_matches(o_orderpriority, '[12]-[UH]'), null) as urgent from orders""",
+)
+PREVIEW = FlatView("preview_rows", "Order", [IDS, Select(for_each="items", columns=[Col("n", "n", "integer")])])
+register(
+    "preview_rows",
+    lambda spark, folder: PREVIEW.apply(orders(spark, folder)).limit(20).agg(F.count(F.lit(1)).alias("rows")),
+    f"select count(*) as rows from (select n from {ITEMS} limit 20)",
+)
+
+
 def _alike(spark: SparkSession, folder: str) -> DataFrame:
     tags = Path(F.col("tags"), T.ArrayType(T.StringType()))
     other = Path(F.col("other"), T.ArrayType(T.StringType()))
