@@ -6,7 +6,8 @@ Flatten: newline-delimited JSON of all record types (written beforehand, not tim
 all nineteen views into Parquet. Map and report: every model over those flat tables.
 Operator queries run from the given tables. Results that are not files go to Spark's noop
 sink, so all rows and columns are computed. map_job is the whole map step as one job, with
-shared intermediates and all fourteen tables written.
+shared intermediates and all fourteen tables written; as it builds the models above again, the
+total is without it.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def main() -> None:
     flatten_seconds = times["flatten_records"] + times["flatten_claim_lines"]
     result = {
         "metric": "total_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(times.values()) - times["map_job"], 3),
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
