@@ -272,7 +272,7 @@ def _sorted_runs(texts: DataFrame) -> DataFrame:
             rank[np.lexsort((place, doc[hull]))] = np.arange(len(hull))
             found = np.sort(repeated_strings(content, at[hull] + inside, key[hull], rank))
             # successive strings of a hull are one run
-            joins = np.append(False, (np.diff(found) == 1) & (hull[found][1:] == hull[found][:-1]))
+            joins = np.append(False, (np.diff(found) == 1) & (hull[found][1:] == hull[found][:-1]))[: len(found)]
             begin = np.flatnonzero(~joins)
             count = np.diff(np.append(begin, len(found)))
             columns = [doc[hull[found[begin]]], place[found[begin]], count]

@@ -433,3 +433,13 @@ def test_pipeline_stages(spark, docs):
             assert table.columns == before.columns
     assert seen[0][1] < docs.count() and seen[1][1] == seen[0][1] and seen[2][1] < seen[1][1]
     assert seen[4][1] == seen[3][1] > 0
+
+
+def test_suffix_dedup_sorts_hulls_without_repeats(spark):
+    """A task whose hulls share an anchor but no string has no run to return."""
+    texts = [bytes((7 * i + k) % 251 for i in range(suffix_dedup.LENGTH)) for k in (1, 2)]
+    rows = [(5, k, 0, 1, bytearray(t)) for k, t in enumerate(texts)]
+    schema = "key long, doc_id long, first long, n long, content binary"
+    assert suffix_dedup._sorted_runs(spark.createDataFrame(rows, schema)).collect() == []
+    again = [*rows, (5, 9, 3, 1, bytearray(texts[0]))]
+    assert [tuple(r) for r in suffix_dedup._sorted_runs(spark.createDataFrame(again, schema)).collect()] == [(9, 3, 1)]
