@@ -171,3 +171,23 @@ def test_odd_shapes(ndjson):
     wrong = ndjson([{"resourceType": "Form", "id": "w", "item": [{"linkId": "a", "item": {"linkId": "b"}}]}], SCHEMA)
     with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
         run(wrong, Select([Col("l", "linkId")], repeat=["item"])).collect()
+
+
+def test_many_children_stay_in_order(ndjson):
+    """More siblings than a byte counts, each with a child of its own."""
+    items = [{"linkId": str(i), "item": [{"linkId": f"{i}.0"}]} for i in range(300)]
+    form = ndjson([{"resourceType": "Form", "id": "f", "item": items}], SCHEMA)
+    assert links(form, ["item"]) == [x for i in range(300) for x in (str(i), f"{i}.0")]
+
+
+def test_trees_of_a_small_file_are_dealt(spark, tmp_path):
+    """One split of narrow rows, but the descents below it are work for all cores."""
+    from checks.operator_queries import chains, trees
+
+    part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    rows = [(k, f"n{k}", "b", "t", k % 7) for k in range(100)]
+    spark.createDataFrame(rows, part).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for build, n in ((chains, 85), (trees, 100)):
+        built = build(spark, str(tmp_path))
+        assert built.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert built.count() == n
