@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from clinflat.plans import claims, code_maps
 from clinflat.plans.common import RunInfo
@@ -94,6 +95,26 @@ def test_long_claims_stay_out_of_the_buckets(spark, sources, tmp_path):
     assert rows(layer.pharmacy_claims()) == rows(pharmacy)
 
 
+def test_lines_are_flattened_once(spark, sources, tmp_path):
+    flat, maps = sources
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(value):
+        seen.add(1)
+        return value
+
+    def counted(name):
+        df = flat(name)
+        if name == "explanation_of_benefit_item":
+            df = df.withColumn("eob_id", F.udf(noted, "string").asNondeterministic()("eob_id"))
+        return df
+
+    layer = job(spark, (counted, maps), tmp_path, "layer_once", long_claim=100)
+    layer.stage()
+    assert layer.has_long_claims
+    assert seen.value == flat("explanation_of_benefit_item").count()
+
+
 def test_no_shuffle_by_claim(spark, sources, tmp_path):
     layer = job(spark, sources, tmp_path, "layer_plan")
     layer.stage()
