@@ -26,7 +26,7 @@ from clinflat.llm.common import in_small_batches, shared_folder, staged, text_of
 #: Ids after which a block is closed; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
 #: Lengths of the four ranks of each control byte.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -35,19 +35,25 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     codes = np.zeros(-len(ranks) % 4 + len(ranks), np.uint8)
     codes[: len(ranks)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) < size[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    one, two, three, four = codes.reshape(-1, 4).T
+    control = one | two << 2 | three << 4 | four << 6
+    at = np.cumsum(size, dtype=np.int64) - size
+    data = np.empty(int(size.sum(dtype=np.int64)), np.uint8)
+    data[at] = ranks.astype(np.uint8)
+    for k in range(1, 4):
+        longer = np.flatnonzero(size > k)
+        data[at[longer] + k] = (ranks[longer] >> np.uint32(8 * k)).astype(np.uint8)
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The n ranks of pack()."""
     size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
     content = np.frombuffer(data, np.uint8)
-    at = np.cumsum(size) - size
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        longer = np.flatnonzero(size > k) if k else slice(None)
+    at = np.cumsum(size, dtype=np.int64) - size
+    out = content[at].astype(np.uint32)
+    for k in range(1, 4):
+        longer = np.flatnonzero(size > k)
         out[longer] |= content[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
@@ -62,10 +68,10 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-def narrow(ids: np.ndarray) -> np.ndarray:
+def narrow(ids: np.ndarray) -> bytes:
     """Ids in two bytes each after a zero byte, or in four after a one, if one of them needs that."""
     wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    return np.append(np.uint8(wide), ids.astype("<u4" if wide else "<u2").view(np.uint8))
+    return bytes([wide]) + ids.astype("<u4" if wide else "<u2").tobytes()
 
 
 def widened(packed: bytes) -> np.ndarray:
@@ -126,7 +132,10 @@ class Library:
             for piece in pieces_of(chunk, self.find):
                 ids = known.get(piece)
                 if ids is None:
-                    tokens = tokenize(piece.encode().decode("latin-1").translate(letters))
+                    # of printable ASCII, only the space has another letter
+                    plain = piece.isascii() and piece.isprintable()
+                    spelt = piece.replace(" ", letters[32]) if plain else piece.encode().decode("latin-1").translate(letters)
+                    tokens = tokenize(spelt)
                     known[piece] = ids = b"".join([packed_id[t.id] for t in tokens])
                     if len(piece) > self.cache.longest:
                         long.append(piece)
@@ -154,7 +163,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
         library = loaded(tokenizer)
         for batch in batches:
             ids = [np.frombuffer(ids + end, "<u4") for ids in library.encode(batch.column(1).to_pylist())]
-            packed = [narrow(x).tobytes() for x in ids]
+            packed = [narrow(x) for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"])
 
     in_small_batches(docs.sparkSession, 500)
@@ -168,10 +177,12 @@ def frequencies(encoded: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
-                n = np.bincount(widened(packed), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+            if not batch.num_rows:
+                continue
+            ids = np.concatenate([widened(packed) for packed in batch.column(0).to_pylist()])
+            n = np.bincount(ids, minlength=len(total))
+            n[: len(total)] += total
+            total = n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -264,6 +265,16 @@ def test_token_files(spark, docs, rows, empty, tmp_path):
     assert token_files.read_ids(spark, f"{tmp_path}/e").count() == 0
 
 
+def test_frequencies_are_counted_by_batch(spark):
+    # an array as long as the largest id, made for each document, would take minutes
+    packed = bytearray(token_files.narrow(np.array([7, 7, 4_000_000], np.uint32)))
+    encoded = spark.range(0, 4000, 1, 1).select(F.lit(packed).alias("ids"))
+    begin = time.monotonic()
+    found = {r.id: r.n for r in token_files.frequencies(encoded).collect()}
+    assert found == {7: 8000, 4_000_000: 4000}
+    assert time.monotonic() - begin < 30
+
+
 def test_packed_ranks():
     for n in (0, 1, 4, 7, 1000):
         ranks = np.random.default_rng(n).choice([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1], n).astype(np.uint32)
