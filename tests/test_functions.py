@@ -37,6 +37,15 @@ def test_reference_key(spark, target, want):
     each(spark, lambda r: reference_key(r, target), *zip(forms, want, strict=True))
 
 
+def test_reference_key_of_plain_and_odd_references(spark):
+    want = {
+        "Patient/1": "1", "Patient/é b": "é b", "Patient/a#b": "a#b", "Patient/1/": "1", "Patient/1/_history/2": "1",
+        "Patient/": None, "Patient//": None, "Patient": None, "Patient/a?x=1": None, "Patient?x": None, "Patients/1": None,
+        "patient/1": None, "Patient/1/2": None, "#Patient/1": None, "": None, "http://a/Patient/7": "7", "Patient/_history/2": None,
+    }
+    each(spark, lambda r: reference_key(r, "Patient"), *want.items())
+
+
 def test_clean_name(spark):
     each(spark, text.clean_name, ("Eli499", "Eli"), (" Ann 1", "Ann"), ("123", None), ("", None), (None, None))
 

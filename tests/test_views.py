@@ -298,3 +298,57 @@ def test_the_plan_has_no_shuffle(people):
     got = run(people, ID, Select([Col("f", "family")], for_each="name"), Select(union_all=[Select([Col("g", "gender")])]))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def reads(*selects, **options):
+    from pyspark.sql import types as T
+
+    view = FlatView("v", "Patient", list(selects), **options)
+    return view.reads(T.StructType.fromDDL(SCHEMA)).simpleString()
+
+
+def test_a_view_of_some_columns_reads_their_fields_only(people, ndjson):
+    from pyspark.sql import types as T
+
+    contact = Select(
+        for_each="contact",
+        shared={"size": lambda n: F.size(n["telecom"].col), "family": lambda n: n["name"]["family"].col},
+        columns=[
+            index(),
+            Col("role", "role", "code"),
+            Col("size", lambda n: n.shared("size"), "integer"),
+            Col("family", lambda n: n.shared("family")),
+        ],
+    )
+    view = FlatView("v", "Patient", [Select([Col("id", "id", "id"), Col("gender", "gender")]), contact], where=["active"])
+    few = view.only(["id", "i", "family"])
+    schema = few.reads(T.StructType.fromDDL(SCHEMA))
+    assert schema.simpleString() == (
+        "struct<resourceType:string,id:string,active:boolean,contact:array<struct<name:struct<family:string,given:array<string>>>>>"
+    )
+    assert few.columns == ["id", "i", "family"]
+    want = [{"id": "a", "i": 0, "family": "Elm"}, {"id": "a", "i": 1, "family": "Fir"}]
+    same(few.apply(ndjson(PEOPLE, schema)), want)
+    same(few.apply(people), want)
+    # rows stay where no column of the items does
+    none = view.only(["id"])
+    same(none.apply(ndjson(PEOPLE, none.reads(T.StructType.fromDDL(SCHEMA)))), [{"id": "a"}, {"id": "a"}])
+
+
+def test_records_and_items_used_as_a_whole_are_read_as_a_whole():
+    whole = "link:array<struct<reference:string>>"
+    assert whole in reads(Select(for_each="link", columns=[Col("x", "$this")]))
+    assert whole in reads(Select(for_each="link", columns=[index()]), Select([Col("n", lambda n: n["link"].count(), "integer")]))
+    names = Select(for_each="name", columns=[Col("family", "family")])
+    assert "name:array<struct<family:string>>>" in reads(names)
+    assert "gender" in reads(Select(for_each="name", columns=[Col("g", lambda n: n.resource["gender"])]))
+    deep = Select(for_each="contact", columns=[Col("role", "role")], select=[Select(for_each="telecom", columns=[Col("value", "value")])])
+    assert "contact:array<struct<role:string,telecom:array<struct<system:string,value:string>>>>" in reads(deep)
+
+
+def test_only_needs_known_columns_and_whole_branches():
+    view = FlatView("v", "Patient", [ID, Select(union_all=[Select([Col("x", "gender")]), Select([Col("x", "birthDate")])])])
+    assert view.only(["id", "x"]).columns == ["id", "x"]
+    for wrong in (["nothing"], ["id"]):
+        with pytest.raises(ViewError):
+            view.only(wrong)
