@@ -2,9 +2,13 @@
 
 from datetime import date, datetime
 
+import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from checks.queries import Models
+from clinflat.functions import codes
 from clinflat.plans import claims, clinical, reports
 from clinflat.plans.common import RunInfo
 from clinflat.plans.tables import TABLES
@@ -193,3 +197,54 @@ def test_a_claim_with_most_of_the_lines_is_split(spark, ndjson):
     assert sum(r.claim_id == "hot" for r in got) == n // 3
     assert all(r.diagnosis_code_1 == "A" + r.claim_id for r in got)
     assert plan.split("Initial Plan")[0].count("skew=true") >= 1
+
+
+def test_claims_of_some_columns_read_fewer_fields(spark, ndjson):
+    amount = [{"category": {"coding": [{"code": codes.LINE_PAID}]}, "amount": {"value": 2.5}}]
+    lines = [
+        {"sequence": k, "servicedDate": "2000-02-03", "adjudication": amount, "productOrService": {"coding": [{"system": codes.RXNORM, "code": "1"}]}}
+        for k in (1, 2)
+    ]
+    claim = [
+        {"id": f"c{kind}", "type": {"coding": [{"code": kind}]}, "insurer": {"display": "Acme"}, "item": lines, "created": "2000-03-04"}
+        for kind in ("professional", "pharmacy")
+    ]
+    view, record = TABLES["explanation_of_benefit_item"], resource_schema("ExplanationOfBenefit")
+    claim = [{"resourceType": view.resource, **r} for r in claim]
+
+    def read(columns):
+        few = view.only(columns)
+        return few.apply(ndjson(claim, few.reads(record)))
+
+    assert "productOrService" not in view.only(claims.medical_line_columns(reports.COST_COLUMNS)).reads(record).simpleString()
+    eob, whole = flat(ndjson, "explanation_of_benefit", claim), flat(ndjson, "explanation_of_benefit_item", claim)
+    people = flat(ndjson, "encounter", []), flat(ndjson, "practitioner", [])
+    headers = claims.claim_headers(eob, read(claims.LINE_DATE_COLUMNS), *people)
+    assert rows(headers) == rows(claims.claim_headers(eob, whole, *people))
+    lists = spark.createDataFrame([], "claim_id string, diagnoses array<struct<diagnosis_rank:bigint,icd10_code:string,on_admission_code:string>>")
+    packages = spark.createDataFrame([("1", "n1")], "rxnorm_code string, ndc_code string")
+    for build, inputs, other in (
+        (claims.medical_claims, claims.medical_line_columns, lists),
+        (claims.pharmacy_claims, claims.pharmacy_line_columns, packages),
+    ):
+        full = build(headers, whole, other, RUN)
+        assert full.count() == 2
+        for name in ("charge_amount", "hcpcs_code" if other is lists else "ndc_code", "quantity" if other is packages else "claim_line_end_date"):
+            few = build(headers, read(inputs([name])), other, RUN, [name])
+            assert few.columns == [name]
+            assert sorted(map(str, few.collect())) == sorted(map(str, full.select(name).collect())), name
+    medical = claims.medical_claims(headers, read(claims.medical_line_columns(reports.COST_COLUMNS)), lists, RUN, reports.COST_COLUMNS)
+    assert [r.paid_amount for r in medical.collect()] == [2.5, 2.5]
+    with pytest.raises(AnalysisException):
+        claims.medical_claims(headers, whole.drop("paid_amount"), lists, RUN, ["paid_amount"])
+
+
+def test_cost_report_builds_no_fields_of_lines_that_it_does_not_read(spark, tmp_path):
+    columns = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame([(3, 5, 1, 1, 2.0, 10.0, "N", datetime(1996, 1, 2))], columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    m = Models(spark, str(tmp_path))
+    table, some = "explanation_of_benefit_item", claims.medical_line_columns(reports.COST_COLUMNS)
+    assert rows(m.flat(table, some)) == rows(m.flat(table).select(*some))
+    # the leading scan reads what the records are built of
+    plan = m.flat(table, some)._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" in plan and "l_shipdate" not in plan and "l_returnflag" not in plan
