@@ -1,6 +1,8 @@
 """The map step as one job: shared intermediates once, joins by claim without a shuffle."""
 
+import os
 import re
+import time
 from datetime import datetime
 
 import pytest
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 
 from clinflat.plans import claims, code_maps
 from clinflat.plans.common import RunInfo
-from clinflat.plans.job import InputLayer
+from clinflat.plans.job import LINE_COLUMNS, InputLayer
 from clinflat.plans.tables import TABLES
+from clinflat.session import SHUFFLE_CLEANUP
 from clinflat.sources.schemas import DIAGNOSIS_MAP_SCHEMA, DRUG_PACKAGE_SCHEMA, resource_schema
 
 RUN = RunInfo("test", datetime(2026, 1, 1))
@@ -133,3 +136,70 @@ def test_staging_again_replaces(spark, sources, tmp_path):
     layer.stage()
     assert [r[:2] for r in layer.report] == [r[:2] for r in first]
     assert spark.read.parquet(f"{folder}/stage_claim_header").count() == 30
+
+
+def test_stages_leave_what_is_read_later(spark, sources, tmp_path):
+    folder = tmp_path / "kept"
+    layer = job(spark, sources, tmp_path, "layer_kept", folder=str(folder), long_claim=100)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {x for top in manager.localDirsString() for _, _, names in os.walk(top) for x in names if x.startswith("shuffle_")}
+
+    before = shuffles()
+    layer.stage()
+    for _ in range(50):  # they go in the background
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before
+    assert "stage_line" in [r[0] for r in layer.report] and not spark.catalog.tableExists("layer_kept.stage_line")
+    assert sorted(p.name for p in folder.iterdir() if p.name.endswith("_line")) == ["stage_claim_line", "stage_long_claim_line"]
+    assert layer.table("stage_claim_line").columns == list(LINE_COLUMNS)
+
+
+def test_no_sort_by_claim(spark, sources, tmp_path):
+    layer = job(spark, sources, tmp_path, "layer_sorted")
+    layer.stage()
+    for table in (layer.medical_claims(), layer.pharmacy_claims()):
+        _, plan = exchanges(table)
+        assert "SortMergeJoin [__line_claim" in plan or "SortMergeJoin [claim_id" in plan
+        assert not re.search(r"Sort \[(__line_claim|claim_id|__dx_claim)", plan)
+
+
+def test_only_the_columns_that_are_read_are_asked_for(spark, sources, tmp_path):
+    flat, maps = sources
+    asked = {}
+
+    def columns(name, names):
+        asked[name] = set(names)
+        return flat(name).select(*names)
+
+    layer = job(spark, sources, tmp_path, "layer_columns", columns=columns)
+    layer.stage()
+    items = TABLES["explanation_of_benefit_item"].columns
+    assert set(asked) == {"explanation_of_benefit_item", "explanation_of_benefit_diagnosis"}
+    assert asked["explanation_of_benefit_item"] < set(items) and "patient_id" not in asked["explanation_of_benefit_item"]
+    medical, pharmacy = expected_claims(sources)
+    assert rows(layer.medical_claims()) == rows(medical)
+    assert rows(layer.pharmacy_claims()) == rows(pharmacy)
+
+
+def test_tables_are_reported_in_one_order(spark, sources, tmp_path):
+    layer = job(spark, sources, tmp_path, "layer_order")
+    names = [r.name for r in layer.build().collect()]
+    assert names[-14:] == list(layer.models()) and names[0] == "stage_diagnosis_code"
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
+def test_a_table_that_fails_fails_the_job(spark, sources, tmp_path):
+    flat, maps = sources
+
+    def broken(name):
+        if name == "observation":
+            raise ValueError("no such table")
+        return flat(name)
+
+    layer = job(spark, (broken, maps), tmp_path, "layer_broken")
+    with pytest.raises(ValueError, match="no such table"):
+        layer.build()
